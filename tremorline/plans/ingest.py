@@ -1,0 +1,93 @@
+"""Ingestion: landed documents to clean rows, in the table and in the silver layer."""
+
+from __future__ import annotations
+
+import logging
+from dataclasses import dataclass
+from typing import Literal
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from tremorline.operators import (
+    CleanOptions,
+    add_insert_date,
+    clean,
+    explode_features,
+    insert_date,
+)
+from tremorline.sources import Run, append_table, read_landing, read_table, rejected
+from tremorline.sources import write_landing, write_silver
+from tremorline.sources.landing import is_rejected
+from tremorline.sources.silver import SECOND_FORMAT, SUBSECOND_FORMAT
+from tremorline.sources.table import RUN
+
+log = logging.getLogger(__name__)
+
+
+@dataclass(frozen=True)
+class IngestReport:
+    documents: int
+    rejected: int
+
+
+def ingest(
+    spark: SparkSession,
+    run: Run,
+    table: str,
+    options: CleanOptions = CleanOptions(),
+    *,
+    lines: DataFrame | None = None,
+    catalog: bool = False,
+    format: str = "parquet",
+    by_day: bool = False,
+    silver_from: Literal["table", "documents"] = "table",
+) -> IngestReport:
+    """One run: land ``lines`` if given, then clean what is landed into both sinks.
+
+    The table is appended first, with the run's rows in a partition of their own, and
+    silver is written from that partition. So documents are parsed once, nothing is
+    cached, and a lost executor costs no second parse of what is already written. For
+    a ``format`` without partitions, ``silver_from="documents"`` parses them twice.
+
+    Documents without ``features`` are counted and written to ``run.rejected``; the
+    others go on.
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if lines is not None:
+        write_landing(lines, run.landing)
+
+    documents = read_landing(spark, run.landing)
+    counts = Observation()
+    observed = documents.select("features").observe(
+        counts,
+        F.count(F.lit(1)).alias("documents"),
+        F.count_if(is_rejected()).alias("rejected"),
+    )
+    events = add_insert_date(clean(explode_features(observed), options), run.at, options)
+    append_table(
+        events,
+        table,
+        options.table_schema(),
+        catalog=catalog,
+        format=format,
+        by_run=silver_from == "table",
+        by_day=by_day,
+    )
+    report = IngestReport(**counts.get)
+
+    if silver_from == "table":
+        schema = options.table_schema() or events.schema
+        appended = read_table(spark, table, schema, catalog=catalog, format=format)
+        silver = appended.where(F.col(RUN) == insert_date(run.at, options))
+        silver = silver.select(schema.names)
+    else:
+        silver = clean(explode_features(documents), options)
+    fraction = options.time_mode == "local_subsecond"
+    write_silver(silver.drop(RUN), run.silver, SUBSECOND_FORMAT if fraction else SECOND_FORMAT)
+
+    if report.rejected:
+        rejected(documents).write.json(run.rejected)
+        log.warning("run %s: %d documents rejected", run.stamp, report.rejected)
+    log.info("run %s: %d documents ingested", run.stamp, report.documents - report.rejected)
+    return report
