@@ -13,6 +13,8 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tremorline.sources.table import DAY
+
 
 def area_and_magnitude(events: DataFrame) -> DataFrame:
     """The (area, mag) pairs behind the magnitude questions, one per event."""
@@ -47,12 +49,14 @@ def strongest_regions(
     latest event. All regions that share the highest magnitude are returned.
     """
     if as_of is None:
-        latest = F.max("time") - F.make_dt_interval(F.lit(days))
-        recent = events.where(F.col("time") > events.agg(latest).scalar())
+        start = _latest(events).select(F.col("time") - F.make_dt_interval(F.lit(days))).scalar()
+        recent = events.where(F.col("time") > start)
     else:
         end = as_of if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc)
-        start = end - timedelta(days=days)
-        recent = events.where((F.col("time") > F.lit(start)) & (F.col("time") <= F.lit(end)))
+        start = F.lit(end - timedelta(days=days))
+        recent = events.where((F.col("time") > start) & (F.col("time") <= F.lit(end)))
+    if DAY in events.columns:
+        recent = recent.where(F.col(DAY) >= F.to_date(start))
     peaks = (
         recent.where(F.col("area").isNotNull() & F.col("mag").isNotNull())
         .groupBy("area")
@@ -61,6 +65,14 @@ def strongest_regions(
     return peaks.where(F.col("mag") == peaks.agg(F.max("mag")).scalar())
 
 
+def _latest(events: DataFrame) -> DataFrame:
+    """The latest event time, as one row; of a table laid out by day, from its last day."""
+    if DAY in events.columns:
+        last_day = events.agg(F.max(DAY)).scalar()
+        events = events.where(F.col(DAY) == last_day)
+    return events.agg(F.max("time").alias("time"))
+
+
 def regions_above(events: DataFrame, magnitude: float = 5.0) -> DataFrame:
     """Regions with events stronger than ``magnitude``: the maximum and how many."""
     strong = events.where((F.col("mag") > magnitude) & F.col("area").isNotNull())

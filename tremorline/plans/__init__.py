@@ -1,4 +1,4 @@
-from tremorline.plans.analyse import analyse, show_answers
-from tremorline.plans.ingest import IngestReport, ingest
+from tremorline.plans.analysis import analyse, show_answers
+from tremorline.plans.ingestion import IngestReport, ingest
 
 __all__ = ["IngestReport", "analyse", "ingest", "show_answers"]

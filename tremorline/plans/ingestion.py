@@ -19,6 +19,7 @@ from tremorline.operators import (
 from tremorline.sources import Run, append_table, read_landing, read_table, rejected
 from tremorline.sources import write_landing, write_silver
 from tremorline.sources.landing import is_rejected
+from tremorline.sources.paths import require_utc
 from tremorline.sources.silver import SECOND_FORMAT, SUBSECOND_FORMAT
 from tremorline.sources.table import RUN
 
@@ -53,7 +54,7 @@ def ingest(
     Documents without ``features`` are counted and written to ``run.rejected``; the
     others go on.
     """
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    require_utc(spark)
     if lines is not None:
         write_landing(lines, run.landing)
 

@@ -110,6 +110,8 @@ FROM (SELECT area, mag, CAST(NULL AS VARCHAR) AS mng FROM q
       UNION ALL
       SELECT {_AREA_OR_NULL}, NULL, coalesce(CAST(mag AS VARCHAR), 'None') FROM feed) u
 GROUP BY area""",
+    "mixed_shapes": """SELECT area, round(avg(mag), 6) AS avg_mag, 2 * count(*) AS n,
+count(*) AS n_nested, count(*) AS n_flat FROM q GROUP BY area""",
     "table_source": f"{_NESTED}, '2024-10-25 07:55:30' AS insert_date FROM q",
     "two_sinks": """SELECT area, count(*) AS n, sink
 FROM (SELECT area, 'silver' AS sink FROM q UNION ALL SELECT area, 'table' FROM q) u
@@ -150,6 +152,9 @@ FROM ({_DAYS_AREAS}) d GROUP BY area""",
     "strongest_region_last_week": _strongest(
         "(SELECT max(time) FROM q) - INTERVAL 7 DAY", "(SELECT max(time) FROM q)"
     ),
+    "strongest_region_partitioned": _strongest(
+        "(SELECT max(time) FROM q) - INTERVAL 7 DAY", "(SELECT max(time) FROM q)"
+    ),
     "strongest_region_as_of": _strongest(
         "TIMESTAMP '2024-01-13 00:00:00'", "TIMESTAMP '2024-01-20 00:00:00'"
     ),

@@ -21,7 +21,7 @@ from tremorline.functions import (
     local_subsecond,
     utc_second,
 )
-from tremorline.plans.ingest import ingest
+from tremorline.plans.ingestion import ingest
 from tremorline.schema import PROPERTIES, flat_event_schema, nested_event_schema
 from tremorline.sources import (
     Run,
@@ -182,6 +182,22 @@ def autodetect_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CHANGED = ["tz", "felt", "cdi", "mmi", "nst", "dmin", "rms", "gap"]
 
 
+def mixed_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table with appends of the nested and the flat shape, read as one."""
+    target = scratch_dir(spark, "mixed-shapes")
+    features = _features(spark, sf_dir)
+    for options in (ops.nested_events(), ops.flat_events()):
+        events = ops.add_insert_date(ops.clean(features, options), RUN_AT, options)
+        append_table(events, target, options.table_schema())
+    table = read_table(spark, target, merge_schema=True)
+    return table.groupBy("area").agg(
+        F.avg("mag").alias("avg_mag"),
+        F.count(F.lit(1)).alias("n"),
+        F.count("geometry").alias("n_nested"),
+        F.count("depth").alias("n_flat"),
+    ).withColumn("avg_mag", F.round("avg_mag", 6))
+
+
 def table_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_table(spark, sf_dir))
 
@@ -363,8 +379,13 @@ def strongest_region_last_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.strongest_regions(_table(spark, sf_dir))
 
 
+def strongest_region_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a table laid out by day."""
+    return ops.strongest_regions(_table_by_day(spark, sf_dir))
+
+
 def strongest_region_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same for a given date, from a table laid out by day."""
+    """The same for a given date."""
     as_of = datetime(2024, 1, 20, tzinfo=timezone.utc)
     return ops.strongest_regions(_table_by_day(spark, sf_dir), as_of)
 
@@ -384,6 +405,7 @@ QUERIES: dict[str, Query] = {
     "append_twice": append_twice,
     "typed_table": typed_table,
     "autodetect_append": autodetect_append,
+    "mixed_shapes": mixed_shapes,
     "table_source": table_source,
     "two_sinks": two_sinks,
     "incremental_ingest": incremental_ingest,
@@ -410,6 +432,7 @@ QUERIES: dict[str, Query] = {
     "avg_daily_count": avg_daily_count,
     "avg_daily_count_by_region": avg_daily_count_by_region,
     "strongest_region_last_week": strongest_region_last_week,
+    "strongest_region_partitioned": strongest_region_partitioned,
     "strongest_region_as_of": strongest_region_as_of,
     "regions_above_5": regions_above_5,
     "top_regions": top_regions,

@@ -1,4 +1,4 @@
-"""Folders of a run, and the shared scratch folder."""
+"""Folders of a run, the shared scratch folder, and the session check."""
 
 from __future__ import annotations
 
@@ -41,6 +41,13 @@ class Run:
         return f"{self.root}/{REJECTED}/{self.stamp}"
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Refuse a session in which days, partition values and written times would shift."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC"):
+        raise ValueError(f"set spark.sql.session.timeZone to UTC (it is {zone})")
+
+
 _local_root: str | None = None
 
 

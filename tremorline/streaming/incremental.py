@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremorline.operators import CleanOptions, add_insert_date, clean, explode_features
-from tremorline.plans.ingest import IngestReport
+from tremorline.plans.ingestion import IngestReport
 from tremorline.schema import CORRUPT, feed_schema
 from tremorline.sources.landing import is_rejected
-from tremorline.sources.paths import LANDING, SILVER
+from tremorline.sources.paths import LANDING, SILVER, require_utc
 from tremorline.sources.silver import SECOND_FORMAT, SUBSECOND_FORMAT
 from tremorline.sources.table import RUN, conform
 
@@ -34,7 +34,7 @@ def ingest_new_documents(
     ``checkpoint`` is a folder of this stream's own; keep it between calls. ``max_files``
     bounds the landed files of one micro-batch.
     """
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    require_utc(spark)
     reader = spark.readStream.schema(feed_schema()).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
