@@ -1,0 +1,149 @@
+"""Flatten and clean over hand-made documents."""
+
+from __future__ import annotations
+
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from documents import NAMES, document, feature, land
+
+from tremorline import CleanOptions, flat_events, nested_events, string_events, subsecond_events
+from tremorline.operators import add_insert_date, clean, explode_features
+from tremorline.sources import read_landing
+
+ZONE = "America/Los_Angeles"
+
+
+def cleaned(spark, path, *lines, options=CleanOptions()):
+    documents = read_landing(spark, land(path, *lines))
+    return clean(explode_features(documents), options)
+
+
+def test_rows_per_document(spark, tmp_path):
+    lines = [
+        document(feature(code="a"), feature(code="b")),
+        document(),
+        "None",
+        '{"x": 1}',
+        document(feature(code="c")),
+    ]
+    events = cleaned(spark, tmp_path, *lines)
+    assert sorted(row.code for row in events.collect()) == ["a", "b", "c"]
+
+
+def test_nested_row(spark, tmp_path):
+    line = document(
+        feature(mag=1.25, place="5 km N of Here ", tz=None, felt=3, tsunami=0, title="é", net="us")
+    )
+    events = cleaned(spark, tmp_path, line)
+    assert events.columns == [*NAMES, "area", "geometry"]
+    row = events.first()
+    assert (row.mag, row.place, row.area) == (1.25, "5 km N of Here ", "Here")
+    assert (row.felt, row.tsunami, row.tz, row.title, row.net) == (3, 0, None, "é", "us")
+    assert row.geometry.asDict() == {"longtiude": 1.5, "latitude": 2.5, "depth": 3.5}
+
+
+def test_missing_parts(spark, tmp_path):
+    no_geometry = feature(code="null geometry") | {"geometry": None}
+    bare = {"properties": {"code": "bare"}}
+    empty_geometry = feature(code="no coordinates") | {"geometry": {}}
+    line = document(
+        feature((1, 2), code="short"),
+        feature((), code="empty"),
+        feature((1, None, "x"), code="odd"),
+        no_geometry,
+        bare,
+        empty_geometry,
+    )
+    rows = {row.code: row for row in cleaned(spark, tmp_path, line).collect()}
+    parts = {code: tuple(row.geometry) for code, row in rows.items()}
+    nothing = (None, None, None)
+    assert parts == {
+        "short": (1.0, 2.0, None),
+        "empty": nothing,
+        "odd": (1.0, None, None),
+        "null geometry": nothing,
+        "bare": nothing,
+        "no coordinates": nothing,
+    }
+    assert [rows["bare"][name] for name in NAMES if name != "code"] == [None] * 25
+    assert rows["bare"].area is None
+
+
+def test_odd_tokens_spoil_only_their_field(spark, tmp_path):
+    line = document(
+        feature(code="odd", mag="abc", sig=3.0, nst="7", time="1729842930123", updated="zz"),
+        feature(code="nested", mag=[1], place={"a": 1}, felt=True),
+        feature(code="good", mag=2, sig=12345678901),
+    )
+    rows = {row.code: row for row in cleaned(spark, tmp_path, line).collect()}
+    odd = rows["odd"]
+    assert (odd.mag, odd.sig, odd.nst, odd.updated) == (None, 3, 7, None)
+    assert odd.time is not None
+    assert rows["nested"].mag is None and rows["nested"].felt is None
+    assert (rows["good"].mag, rows["good"].sig) == (2.0, 12345678901)
+
+
+def test_flat_and_subsecond_columns(spark, tmp_path):
+    line = document(feature(place="Alaska", mag=1))
+    flat = cleaned(spark, tmp_path, line, options=flat_events())
+    assert flat.columns == [*NAMES, "area", "latitude", "longitude", "depth"]
+    row = flat.first()
+    assert (row.area, row.latitude, row.longitude, row.depth) == ("Alaska", 2.5, 1.5, 3.5)
+    sub = cleaned(spark, tmp_path, line, options=subsecond_events(ZONE))
+    assert sub.columns == flat.columns
+    assert sub.selectExpr("cast(time as string)", "cast(updated as string)", "area").first() == (
+        "2024-10-25 00:55:30.123",
+        "2024-10-25 00:55:31.999",
+        None,
+    )
+
+
+def test_string_columns(spark, tmp_path):
+    line = document(feature(place="Alaska", mag=1.0, felt=3, sig=7.0, tsunami="1", code=12))
+    events = cleaned(spark, tmp_path, line, options=string_events(ZONE))
+    names = ["mng" if name == "mag" else name for name in NAMES]
+    assert events.columns == [*names, "area", "longitude", "latitude", "depth"]
+    kinds = dict(events.dtypes)
+    assert {name for name in names if kinds[name] == "bigint"} == {"tsunami", "sig"}
+    assert {name for name in names if kinds[name] == "timestamp"} == {"time", "updated"}
+    row = events.first()
+    assert (row.mng, row.felt, row.sig, row.tsunami, row.code) == ("1.0", "3", 7, 1, "12")
+    assert (row.tz, row.alert, row.area, row.depth) == ("None", "None", None, 3.5)
+
+
+@pytest.mark.parametrize(
+    "options, expected",
+    [
+        (nested_events(), "2024-10-25 07:55:30"),
+        (flat_events(), "2024-10-25 07:55:30"),
+        (string_events(ZONE), "2024-10-25 00:55:30"),
+        (subsecond_events(ZONE), "2024-10-25 00:55:30.25"),
+    ],
+)
+def test_insert_date(spark, options, expected):
+    moment = datetime(2024, 10, 25, 7, 55, 30, 250_000)
+    elsewhere = moment.replace(tzinfo=timezone.utc).astimezone(timezone(timedelta(hours=5)))
+    for run_at in (moment, elsewhere):
+        stamped = add_insert_date(spark.range(1), run_at, options)
+        assert stamped.selectExpr("cast(insert_date as string)").first()[0] == expected
+
+
+def test_insert_date_defaults_to_now(spark):
+    found = add_insert_date(spark.range(3)).selectExpr("unix_millis(insert_date) as ms").collect()
+    assert len({row.ms for row in found}) == 1
+    assert found[0].ms % 1000 == 0
+    assert abs(found[0].ms / 1000 - datetime.now(timezone.utc).timestamp()) < 600
+
+
+def test_options_are_checked():
+    with pytest.raises(ValueError, match="needs a zone"):
+        CleanOptions(time_mode="local")
+    with pytest.raises(ValueError, match="flat geometry"):
+        CleanOptions(typing="string")
+
+
+def test_whole_text_survives(spark, tmp_path):
+    title = "x" * 200_000 + "  \"quoted\" \\ end"
+    row = cleaned(spark, tmp_path, document(feature(title=title))).first()
+    assert row.title == title

@@ -7,12 +7,13 @@ from tremorline.operators import (
     string_events,
     subsecond_events,
 )
-from tremorline.plans import analyse, ingest, show_answers
+from tremorline.plans import IngestReport, analyse, ingest, show_answers
 from tremorline.sources import Run, read_table
 from tremorline.streaming import ingest_new_documents
 
 __all__ = [
     "CleanOptions",
+    "IngestReport",
     "Run",
     "analyse",
     "flat_events",

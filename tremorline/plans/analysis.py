@@ -2,27 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from tremorline import operators as ops
 
+QUESTIONS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "count_by_region": ops.count_by_region,
+    "avg_mag_by_region": ops.average_magnitude_by_region,
+    "count_by_day": ops.count_by_day,
+    "count_by_day_region": ops.count_by_day_and_region,
+    "avg_daily_count": ops.average_daily_count,
+    "avg_daily_count_by_region": ops.average_daily_count_by_region,
+    "strongest_region_last_week": ops.strongest_regions,
+    "regions_above_5": ops.regions_above,
+    "top_regions": ops.top_regions,
+}
+
 
 def analyse(events: DataFrame) -> dict[str, DataFrame]:
     """One lazy answer per question, over the clean event table.
 
     Needs the columns area, mag and time, so the nested and the flat table both do.
     """
-    return {
-        "count_by_region": ops.count_by_region(events),
-        "avg_mag_by_region": ops.average_magnitude_by_region(events),
-        "count_by_day": ops.count_by_day(events),
-        "count_by_day_region": ops.count_by_day_and_region(events),
-        "avg_daily_count": ops.average_daily_count(events),
-        "avg_daily_count_by_region": ops.average_daily_count_by_region(events),
-        "strongest_region_last_week": ops.strongest_regions(events),
-        "regions_above_5": ops.regions_above(events),
-        "top_regions": ops.top_regions(events),
-    }
+    return {name: question(events) for name, question in QUESTIONS.items()}
 
 
 def show_answers(events: DataFrame, rows: int = 20) -> None:

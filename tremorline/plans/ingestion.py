@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass
-from typing import Literal
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -41,19 +40,25 @@ def ingest(
     lines: DataFrame | None = None,
     catalog: bool = False,
     format: str = "parquet",
+    by_run: bool | None = None,
     by_day: bool = False,
-    silver_from: Literal["table", "documents"] = "table",
 ) -> IngestReport:
     """One run: land ``lines`` if given, then clean what is landed into both sinks.
 
-    The table is appended first, with the run's rows in a partition of their own, and
-    silver is written from that partition. So documents are parsed once, nothing is
-    cached, and a lost executor costs no second parse of what is already written. For
-    a ``format`` without partitions, ``silver_from="documents"`` parses them twice.
+    With ``by_run`` (default for insert dates of whole seconds) the table is appended
+    first, the run's rows in a partition of their own, and silver is written from that
+    partition. So documents are parsed once, nothing is cached, and a lost executor
+    costs no second parse of what is already written. Without it, as for a ``format``
+    that has no partitions, each sink parses the documents.
 
     Documents without ``features`` are counted and written to ``run.rejected``; the
     others go on.
     """
+    # Partition values with a fraction would be read back as text.
+    fraction = options.time_mode == "local_subsecond"
+    if by_run and fraction:
+        raise ValueError("by_run needs insert dates of whole seconds")
+    by_run = not fraction if by_run is None else by_run
     require_utc(spark)
     if lines is not None:
         write_landing(lines, run.landing)
@@ -72,19 +77,18 @@ def ingest(
         options.table_schema(),
         catalog=catalog,
         format=format,
-        by_run=silver_from == "table",
+        by_run=by_run,
         by_day=by_day,
     )
     report = IngestReport(**counts.get)
 
-    if silver_from == "table":
+    if by_run:
         schema = options.table_schema() or events.schema
         appended = read_table(spark, table, schema, catalog=catalog, format=format)
         silver = appended.where(F.col(RUN) == insert_date(run.at, options))
         silver = silver.select(schema.names)
     else:
         silver = clean(explode_features(documents), options)
-    fraction = options.time_mode == "local_subsecond"
     write_silver(silver.drop(RUN), run.silver, SUBSECOND_FORMAT if fraction else SECOND_FORMAT)
 
     if report.rejected:

@@ -19,14 +19,15 @@ REJECTED = "rejected"
 
 @dataclass(frozen=True)
 class Run:
-    """One ingestion run. Landing and silver folders of a run share its stamp (UTC)."""
+    """One ingestion run; its folders share its stamp. A naive ``at`` is UTC."""
 
     root: str
     at: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
 
     @property
     def stamp(self) -> str:
-        return self.at.strftime(STAMP)
+        at = self.at.astimezone(timezone.utc) if self.at.tzinfo else self.at
+        return at.strftime(STAMP)
 
     @property
     def landing(self) -> str:
