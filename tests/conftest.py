@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import os
 import sys
+import time
 from pathlib import Path
 
 import pytest
@@ -8,6 +10,10 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+# Python shows timestamps in the machine's zone; expected values are in UTC.
+os.environ["TZ"] = "UTC"
+time.tzset()
+
 TESTDATA = Path("/root/testdata")
 
 

@@ -86,7 +86,7 @@ def test_runs_add_up_and_stay_apart(spark, tmp_path, by_day):
 def test_landed_by_someone_else(spark, tmp_path):
     run = Run(str(tmp_path), RUN_AT)
     Path(run.landing).mkdir(parents=True)
-    Path(run.landing, "earthquake.json").write_text(LINES[0] + "\n")
+    Path(run.landing, "feed.json").write_text(LINES[0] + "\n")
     assert ingest(spark, run, f"{tmp_path}/table") == IngestReport(documents=1, rejected=0)
     assert not Path(run.rejected).exists()
 

@@ -44,6 +44,30 @@ def test_each_document_once(spark, tmp_path, max_files):
     assert silver.orderBy("code").collect() == stored.drop("insert_date").orderBy("code").collect()
 
 
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    root, table = str(tmp_path), f"{tmp_path}/table"
+    land(Path(Run(root, RUN_AT).landing), document(feature(code="a"), feature(code="b")))
+    ingest_new_documents(spark, root, table, f"{root}/checkpoint")
+    before = read_table(spark, table).orderBy("code").collect()
+    # As if the call had ended after its write and before it was noted as done.
+    for sink in ("table", "silver"):
+        for note in Path(root, "checkpoint", sink, "commits").iterdir():
+            if note.name.lstrip(".").startswith("0"):
+                note.unlink()
+    ingest_new_documents(spark, root, table, f"{root}/checkpoint")
+    assert read_table(spark, table).orderBy("code").collect() == before
+    assert codes(spark.read.json(f"{root}/silver/stream")) == ["a", "b"]
+
+
+def test_rejects_are_set_aside_once(spark, tmp_path):
+    root = str(tmp_path)
+    for minute, text in ((55, "None"), (56, document(feature())), (57, '{"x": 1}')):
+        land(Path(Run(root, RUN_AT.replace(minute=minute)).landing), text)
+        ingest_new_documents(spark, root, f"{root}/table", f"{root}/checkpoint")
+    found = spark.read.json(f"{root}/rejected/stream").collect()
+    assert sorted(row.reason for row in found) == ["no features", "unreadable"]
+
+
 def test_options_apply(spark, tmp_path):
     root = str(tmp_path)
     land(Path(Run(root, RUN_AT).landing), document(feature(code="a", place="Alaska")))

@@ -110,7 +110,7 @@ FROM (SELECT area, mag, CAST(NULL AS VARCHAR) AS mng FROM q
       UNION ALL
       SELECT {_AREA_OR_NULL}, NULL, coalesce(CAST(mag AS VARCHAR), 'None') FROM feed) u
 GROUP BY area""",
-    "mixed_shapes": """SELECT area, round(avg(mag), 6) AS avg_mag, 2 * count(*) AS n,
+    "mixed_shapes": """SELECT area, round(avg(mag), 9) AS avg_mag, 2 * count(*) AS n,
 count(*) AS n_nested, count(*) AS n_flat FROM q GROUP BY area""",
     "table_source": f"{_NESTED}, '2024-10-25 07:55:30' AS insert_date FROM q",
     "two_sinks": """SELECT area, count(*) AS n, sink
@@ -142,12 +142,12 @@ FROM feed""",
     "mags_by_region": "SELECT area, mag, count(*) AS n FROM q GROUP BY area, mag",
     "mags_by_region_summary": """SELECT area, nullif(count(mag), 0) AS n_mags,
 min(mag) AS min_mag, max(mag) AS max_mag FROM q GROUP BY area""",
-    "avg_mag_by_region": "SELECT area, round(avg(mag), 6) AS avg_mag FROM q GROUP BY area",
+    "avg_mag_by_region": "SELECT area, round(avg(mag), 9) AS avg_mag FROM q GROUP BY area",
     "count_by_day": f"SELECT CAST(day AS VARCHAR) AS day, n FROM ({_DAYS}) d",
     "count_by_day_partitioned": f"SELECT CAST(day AS VARCHAR) AS day, n FROM ({_DAYS}) d",
     "count_by_day_region": f"SELECT CAST(day AS VARCHAR) AS day, area, n FROM ({_DAYS_AREAS}) d",
-    "avg_daily_count": f"SELECT round(avg(n), 6) AS avg_n FROM ({_DAYS}) d",
-    "avg_daily_count_by_region": f"""SELECT area, round(avg(n), 6) AS avg_n
+    "avg_daily_count": f"SELECT round(avg(n), 9) AS avg_n FROM ({_DAYS}) d",
+    "avg_daily_count_by_region": f"""SELECT area, round(avg(n), 9) AS avg_n
 FROM ({_DAYS_AREAS}) d GROUP BY area""",
     "strongest_region_last_week": _strongest(
         "(SELECT max(time) FROM q) - INTERVAL 7 DAY", "(SELECT max(time) FROM q)"

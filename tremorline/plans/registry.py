@@ -40,6 +40,10 @@ from tremorline.streaming import ingest_new_documents
 RUN_AT = datetime(2024, 10, 25, 7, 55, 30, tzinfo=timezone.utc)
 ZONE = "America/Los_Angeles"
 
+# Means are compared to this many decimals: engines add in different orders, and with
+# fewer decimals some means of the feed lie exactly between two roundings.
+DECIMALS = 9
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # --- inputs, made once per application and folder ---------------------------------
@@ -195,7 +199,7 @@ def mixed_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.count("geometry").alias("n_nested"),
         F.count("depth").alias("n_flat"),
-    ).withColumn("avg_mag", F.round("avg_mag", 6))
+    ).withColumn("avg_mag", F.round("avg_mag", DECIMALS))
 
 
 def table_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,7 +353,7 @@ def mags_by_region_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def avg_mag_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = ops.average_magnitude_by_region(_table(spark, sf_dir))
-    return means.withColumn("avg_mag", F.round("avg_mag", 6))
+    return means.withColumn("avg_mag", F.round("avg_mag", DECIMALS))
 
 
 def count_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,12 +371,12 @@ def count_by_day_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def avg_daily_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     answer = ops.average_daily_count(_table(spark, sf_dir))
-    return answer.withColumn("avg_n", F.round("avg_n", 6))
+    return answer.withColumn("avg_n", F.round("avg_n", DECIMALS))
 
 
 def avg_daily_count_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     answer = ops.average_daily_count_by_region(_table(spark, sf_dir))
-    return answer.withColumn("avg_n", F.round("avg_n", 6))
+    return answer.withColumn("avg_n", F.round("avg_n", DECIMALS))
 
 
 def strongest_region_last_week(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tremorline.schema import CORRUPT, feed_schema
 
+_OPTIONS = {"columnNameOfCorruptRecord": CORRUPT}
+
 
 def write_landing(lines: DataFrame, path: str) -> None:
     """Land documents, given as a frame with one string column, as they are."""
@@ -15,7 +17,14 @@ def write_landing(lines: DataFrame, path: str) -> None:
 
 def read_landing(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Parse landed documents in the scan, once. ``path`` is a folder, file or glob."""
-    reader = spark.read.schema(feed_schema()).option("columnNameOfCorruptRecord", CORRUPT)
+    return spark.read.schema(feed_schema()).options(**_OPTIONS).json(path)
+
+
+def stream_landing(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """The same as a stream of new files; ``max_files`` bounds those of one micro-batch."""
+    reader = spark.readStream.schema(feed_schema()).options(**_OPTIONS)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.json(path)
 
 

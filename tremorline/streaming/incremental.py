@@ -1,7 +1,7 @@
 """Incremental ingestion: each call cleans the documents landed since the last one.
 
 The same flatten and clean steps as a batch run, over the landing folders of all
-runs. Both sinks are streaming file sinks, so a call that is cut short and repeated
+runs. All sinks are streaming file sinks, so a call that is cut short and repeated
 neither loses nor doubles rows. Such a table belongs to its stream: batch runs must
 not append to it, and readers must read its root folder.
 """
@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 
 from tremorline.operators import CleanOptions, add_insert_date, clean, explode_features
 from tremorline.plans.ingestion import IngestReport
-from tremorline.schema import CORRUPT, feed_schema
-from tremorline.sources.landing import is_rejected
-from tremorline.sources.paths import LANDING, SILVER, require_utc
+from tremorline.sources.landing import is_rejected, rejected, stream_landing
+from tremorline.sources.paths import LANDING, REJECTED, SILVER, require_utc
 from tremorline.sources.silver import SECOND_FORMAT, SUBSECOND_FORMAT
 from tremorline.sources.table import RUN, conform
 
@@ -32,13 +31,12 @@ def ingest_new_documents(
     """Clean new documents under ``root`` into the table, then new table rows into silver.
 
     ``checkpoint`` is a folder of this stream's own; keep it between calls. ``max_files``
-    bounds the landed files of one micro-batch.
+    bounds the landed files of one micro-batch. Rejected documents are counted, and
+    only if there are any are the landed files looked through once more for them (a
+    call that was cut short leaves that to the next one that meets any).
     """
     require_utc(spark)
-    reader = spark.readStream.schema(feed_schema()).option("columnNameOfCorruptRecord", CORRUPT)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    documents = reader.json(f"{root}/{LANDING}/*")
+    documents = stream_landing(spark, f"{root}/{LANDING}/*", max_files)
     observed = documents.select("features").observe(
         "landed",
         F.count(F.lit(1)).alias("documents"),
@@ -52,14 +50,14 @@ def ingest_new_documents(
 
     rows = spark.readStream.schema(events.schema).parquet(table).drop(RUN)
     fraction = options.time_mode == "local_subsecond"
-    _run_to_end(
-        rows,
-        "json",
-        f"{root}/{SILVER}/stream",
-        f"{checkpoint}/silver",
-        ignoreNullFields="false",
-        timestampFormat=SUBSECOND_FORMAT if fraction else SECOND_FORMAT,
-    )
+    silver = {
+        "ignoreNullFields": "false",
+        "timestampFormat": SUBSECOND_FORMAT if fraction else SECOND_FORMAT,
+    }
+    _run_to_end(rows, "json", f"{root}/{SILVER}/stream", f"{checkpoint}/silver", **silver)
+    if report.rejected:
+        target = f"{root}/{REJECTED}/stream"
+        _run_to_end(rejected(documents), "json", target, f"{checkpoint}/rejected")
     return report
 
 
