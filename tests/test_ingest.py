@@ -103,10 +103,13 @@ def test_catalog_run(spark, tmp_path):
         spark.sql("DROP DATABASE quakes2 CASCADE")
 
 
-def test_nothing_landed_but_rejects(spark, tmp_path):
+@pytest.mark.parametrize("by_day", [False, True])
+@pytest.mark.parametrize("texts", [["None", "None"], []], ids=["rejects", "empty"])
+def test_nothing_usable_landed(spark, tmp_path, texts, by_day):
     run = Run(str(tmp_path), RUN_AT)
-    report = ingest(spark, run, f"{tmp_path}/table", lines=lines(spark, "None", "None"))
-    assert report == IngestReport(documents=2, rejected=2)
+    landed = lines(spark, *texts)
+    report = ingest(spark, run, f"{tmp_path}/table", lines=landed, by_day=by_day)
+    assert report == IngestReport(documents=len(texts), rejected=len(texts))
     assert spark.read.schema("code string").json(run.silver).count() == 0
 
 

@@ -22,5 +22,23 @@ def test_query(spark, sf_dir, connection, name):
     assert n > 0
 
 
+@pytest.mark.parametrize("setting, value", [
+    ("spark.sql.session.timeZone", "Asia/Kolkata"),
+    ("spark.sql.ansi.enabled", "false"),
+    ("spark.sql.caseSensitive", "true"),
+    ("spark.sql.adaptive.enabled", "false"),
+    ("spark.sql.autoBroadcastJoinThreshold", "-1"),
+])
+def test_session_settings_change_nothing(spark, sf_dir, connection, setting, value):
+    before = spark.conf.get(setting)
+    try:
+        for name in ("incremental_ingest", "clean_nested", "strongest_region_partitioned"):
+            spark.conf.set(setting, value)
+            answer = contract.queries()[name](spark, sf_dir)
+            assert_same(answer, connection, contract.oracle_sql()[name])
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_entry(spark, sf_dir):
     assert contract.entry(spark).columns == ["area", "n"]

@@ -25,6 +25,7 @@ from tremorline.sources import (
     write_silver,
 )
 from tremorline.sources.derived_feed import to_documents
+from tremorline.sources.landing import is_rejected
 from tremorline.sources.paths import require_utc, scratch_dir
 
 RUN_AT = datetime(2024, 10, 25, 7, 55, 30, tzinfo=timezone.utc)
@@ -55,14 +56,17 @@ def test_landing_keeps_lines_and_reads_globs(spark, tmp_path):
 
 
 def test_rejected(spark, tmp_path):
-    path = land(tmp_path, document(), "None", '{"x": 1}', document(feature()), '{"features": [')
-    found = rejected(read_landing(spark, path)).collect()
-    assert sorted((row.reason, row.line) for row in found if row.line) == [
-        ("unreadable", "None"),
-        ("unreadable", '{"features": ['),
-    ]
-    assert [row.reason for row in found if row.line is None] == ["no features"]
+    good = [document(), document(feature()), document(feature(title="\u2028 é"))]
+    cut_short = document(feature(), feature())[:-40]
+    unreadable = ["None", '{"features": [', cut_short, "{'features': []}"]
+    featureless = ['{"x": 1}', '{"features": null}', "{}"]
+    documents = read_landing(spark, land(tmp_path, *good, *unreadable, *featureless))
+    found = rejected(documents).collect()
+    assert sorted(row.line for row in found if row.reason == "unreadable") == sorted(unreadable)
+    assert [row.line for row in found if row.reason == "no features"] == [None] * 3
     assert all(row.file.endswith("feed.json") for row in found)
+    assert documents.where(~is_rejected()).count() == 3
+    assert explode_features(documents).count() == 2
 
 
 def test_silver_is_json_with_nulls(spark, tmp_path):

@@ -48,15 +48,20 @@ def strongest_regions(
     ``as_of`` closes the period (inclusive; a naive value is UTC) and defaults to the
     latest event. All regions that share the highest magnitude are returned.
     """
+    by_day = DAY in events.columns
     if as_of is None:
-        start = _latest(events).select(F.col("time") - F.make_dt_interval(F.lit(days))).scalar()
-        recent = events.where(F.col("time") > start)
+        if by_day:
+            # The latest event is on the table's last day, known without reading rows.
+            last_day = events.agg(F.max(DAY)).scalar()
+            events = events.where(F.col(DAY) >= F.date_sub(last_day, days))
+        start = F.max("time") - F.make_dt_interval(F.lit(days))
+        recent = events.where(F.col("time") > events.agg(start).scalar())
     else:
         end = as_of if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc)
-        start = F.lit(end - timedelta(days=days))
-        recent = events.where((F.col("time") > start) & (F.col("time") <= F.lit(end)))
-    if DAY in events.columns:
-        recent = recent.where(F.col(DAY) >= F.to_date(start))
+        first, last = F.lit(end - timedelta(days=days)), F.lit(end)
+        recent = events.where((F.col("time") > first) & (F.col("time") <= last))
+        if by_day:
+            recent = recent.where(F.col(DAY).between(F.to_date(first), F.to_date(last)))
     peaks = (
         recent.where(F.col("area").isNotNull() & F.col("mag").isNotNull())
         .groupBy("area")
@@ -65,14 +70,6 @@ def strongest_regions(
     return peaks.where(F.col("mag") == peaks.agg(F.max("mag")).scalar())
 
 
-def _latest(events: DataFrame) -> DataFrame:
-    """The latest event time, as one row; of a table laid out by day, from its last day."""
-    if DAY in events.columns:
-        last_day = events.agg(F.max(DAY)).scalar()
-        events = events.where(F.col(DAY) == last_day)
-    return events.agg(F.max("time").alias("time"))
-
-
 def regions_above(events: DataFrame, magnitude: float = 5.0) -> DataFrame:
     """Regions with events stronger than ``magnitude``: the maximum and how many."""
     strong = events.where((F.col("mag") > magnitude) & F.col("area").isNotNull())

@@ -5,7 +5,8 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tremorline.operators import (
@@ -31,6 +32,13 @@ class IngestReport:
     rejected: int
 
 
+def document_counts() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("documents"),
+        F.count_if(is_rejected()).alias("rejected"),
+    ]
+
+
 def ingest(
     spark: SparkSession,
     run: Run,
@@ -64,12 +72,8 @@ def ingest(
         write_landing(lines, run.landing)
 
     documents = read_landing(spark, run.landing)
-    counts = Observation()
-    observed = documents.select("features").observe(
-        counts,
-        F.count(F.lit(1)).alias("documents"),
-        F.count_if(is_rejected()).alias("rejected"),
-    )
+    observation = Observation()
+    observed = documents.select("features").observe(observation, *document_counts())
     events = add_insert_date(clean(explode_features(observed), options), run.at, options)
     append_table(
         events,
@@ -80,7 +84,7 @@ def ingest(
         by_run=by_run,
         by_day=by_day,
     )
-    report = IngestReport(**counts.get)
+    report = _report(observation, documents)
 
     if by_run:
         schema = options.table_schema() or events.schema
@@ -96,3 +100,12 @@ def ingest(
         log.warning("run %s: %d documents rejected", run.stamp, report.rejected)
     log.info("run %s: %d documents ingested", run.stamp, report.documents - report.rejected)
     return report
+
+
+def _report(observation: Observation, documents: DataFrame) -> IngestReport:
+    try:
+        return IngestReport(**observation.get)
+    except Py4JJavaError:
+        # When no row gets through, a plan with a shuffle is cut off above it at run
+        # time, and what was observed goes with it. Count once more.
+        return IngestReport(**documents.agg(*document_counts()).first().asDict())

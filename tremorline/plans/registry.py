@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,7 +53,6 @@ _made: dict[tuple[str, ...], str] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[str], None]) -> str:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     key = (spark.conf.get("spark.app.id"), sf_dir, what)
     if key not in _made:
         path = scratch_dir(spark, what)
@@ -402,7 +402,18 @@ def top_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.top_regions(_table(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {
+def _in_utc(query: Query) -> Query:
+    """The query in a session set to UTC, as ingestion asks for."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return query(spark, sf_dir)
+
+    return run
+
+
+_QUERIES: dict[str, Query] = {
     "landing_source": landing_source,
     "quarantine": quarantine,
     "silver_roundtrip": silver_roundtrip,
@@ -441,3 +452,5 @@ QUERIES: dict[str, Query] = {
     "regions_above_5": regions_above_5,
     "top_regions": top_regions,
 }
+
+QUERIES = {name: _in_utc(query) for name, query in _QUERIES.items()}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tremorline.schema import CORRUPT, feed_schema
 
-_OPTIONS = {"columnNameOfCorruptRecord": CORRUPT}
+_OPTIONS = {"columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"}
 
 
 def write_landing(lines: DataFrame, path: str) -> None:

@@ -9,11 +9,10 @@ not append to it, and readers must read its root folder.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tremorline.operators import CleanOptions, add_insert_date, clean, explode_features
-from tremorline.plans.ingestion import IngestReport
-from tremorline.sources.landing import is_rejected, rejected, stream_landing
+from tremorline.plans.ingestion import IngestReport, document_counts
+from tremorline.sources.landing import rejected, stream_landing
 from tremorline.sources.paths import LANDING, REJECTED, SILVER, require_utc
 from tremorline.sources.silver import SECOND_FORMAT, SUBSECOND_FORMAT
 from tremorline.sources.table import RUN, conform
@@ -37,11 +36,7 @@ def ingest_new_documents(
     """
     require_utc(spark)
     documents = stream_landing(spark, f"{root}/{LANDING}/*", max_files)
-    observed = documents.select("features").observe(
-        "landed",
-        F.count(F.lit(1)).alias("documents"),
-        F.count_if(is_rejected()).alias("rejected"),
-    )
+    observed = documents.select("features").observe("landed", *document_counts())
     # The insert date is the time of the micro-batch, which a repeated batch keeps.
     events = add_insert_date(clean(explode_features(observed), options), None, options)
     if options.table_schema() is not None:
