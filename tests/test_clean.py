@@ -84,6 +84,26 @@ def test_odd_tokens_spoil_only_their_field(spark, tmp_path):
     assert (rows["good"].mag, rows["good"].sig) == (2.0, 12345678901)
 
 
+@pytest.mark.parametrize(
+    "odd",
+    [
+        {"properties": 5, "geometry": {"coordinates": [1, 2, 3]}},
+        {"properties": [1], "geometry": None},
+        {"properties": None},
+        {"properties": {"mag": 1}, "geometry": "POINT"},
+        {"properties": {"mag": 1}, "geometry": {"coordinates": "1,2,3"}},
+        {"properties": {"mag": 1}, "geometry": {"coordinates": {"x": 1}}},
+        None,
+    ],
+)
+def test_odd_features_leave_their_neighbours_alone(spark, tmp_path, odd):
+    good = [feature(code="a", mag=1), feature(code="b", mag=2)]
+    plain = cleaned(spark, tmp_path / "plain", document(*good)).collect()
+    mixed = cleaned(spark, tmp_path / "mixed", document(good[0], odd, good[1])).collect()
+    assert [mixed[0], mixed[2]] == plain
+    assert mixed[1].code is None
+
+
 def test_flat_and_subsecond_columns(spark, tmp_path):
     line = document(feature(place="Alaska", mag=1))
     flat = cleaned(spark, tmp_path, line, options=flat_events())

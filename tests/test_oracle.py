@@ -18,21 +18,24 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", contract.queries())
 def test_query(spark, sf_dir, connection, name):
-    n = assert_same(contract.queries()[name](spark, sf_dir), connection, contract.oracle_sql()[name])
-    assert n > 0
-
-
-@pytest.mark.parametrize("setting, value", [
-    ("spark.sql.session.timeZone", "Asia/Kolkata"),
-    ("spark.sql.ansi.enabled", "false"),
-    ("spark.sql.caseSensitive", "true"),
-    ("spark.sql.adaptive.enabled", "false"),
-    ("spark.sql.autoBroadcastJoinThreshold", "-1"),
-])
-def test_session_settings_change_nothing(spark, sf_dir, connection, setting, value):
+    answer = contract.queries()[name](spark, sf_dir)
+    assert assert_same(answer, connection, contract.oracle_sql()[name]) > 0
+
+
+@pytest.mark.parametrize(
+    "setting, value, names",
+    [
+        ("spark.sql.session.timeZone", "Asia/Kolkata", ["incremental_ingest", "time_utc"]),
+        ("spark.sql.ansi.enabled", "false", ["clean_nested", "lenient_numbers"]),
+        ("spark.sql.caseSensitive", "true", ["clean_nested", "typed_table"]),
+        ("spark.sql.adaptive.enabled", "false", ["strongest_region_partitioned"]),
+        ("spark.sql.autoBroadcastJoinThreshold", "-1", ["incremental_ingest"]),
+    ],
+)
+def test_session_settings_change_nothing(spark, sf_dir, connection, setting, value, names):
     before = spark.conf.get(setting)
     try:
-        for name in ("incremental_ingest", "clean_nested", "strongest_region_partitioned"):
+        for name in names:
             spark.conf.set(setting, value)
             answer = contract.queries()[name](spark, sf_dir)
             assert_same(answer, connection, contract.oracle_sql()[name])

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime
 
 import pytest
 from documents import document, feature, land
+from pyspark.sql import functions as F
 
 from tremorline import CleanOptions, analyse, flat_events, string_events, subsecond_events
 from tremorline import operators as ops
@@ -98,6 +100,17 @@ def test_filters_reach_the_scan(table):
         assert re.search(r"PartitionFilters: \[isnotnull\(event_date[^]]*event_date#\d+ >=", plan)
 
 
+def test_a_run_is_read_back_by_its_partition(spark, table, tmp_path):
+    path = f"{tmp_path}/t"
+    run_at = datetime(2024, 10, 25, 7, 55, 30)
+    rows = add_insert_date(table.select(*nested_event_schema().names), run_at)
+    append_table(rows, path, nested_event_schema(), by_run=True)
+    stored = read_table(spark, path, nested_event_schema())
+    plan = plan_of(stored.where(F.col("insert_date") == ops.insert_date(run_at)))
+    assert re.search(r"PartitionFilters: \[[^]]*insert_date#\d+ = 2024-10-25 07:55:30", plan)
+    assert "DataFilters: []" in plan
+
+
 def test_strongest_aggregates_the_week_once(table):
     answer = ops.strongest_regions(table)
     answer.collect()

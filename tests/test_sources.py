@@ -39,6 +39,7 @@ def test_run_folders():
     run = Run("s3://bucket/quakes", RUN_AT)
     assert run.landing == "s3://bucket/quakes/landing/20241025_075530"
     assert run.silver == "s3://bucket/quakes/silver/20241025_075530"
+    assert Run("s3://bucket/quakes/", RUN_AT).landing == run.landing
     elsewhere = RUN_AT.astimezone(timezone(timedelta(hours=-7)))
     assert Run("x", elsewhere).landing == Run("x", RUN_AT).landing
     assert Run("x", RUN_AT.replace(tzinfo=None)).landing == Run("x", RUN_AT).landing
@@ -119,7 +120,7 @@ def test_layouts_hold_the_same_rows(spark, tmp_path, by_run, by_day):
     assert any(name.startswith("event_date=") for name in folders) == by_day
 
 
-def test_catalog_table(spark, tmp_path, monkeypatch):
+def test_catalog_table(spark, tmp_path):
     rows = add_insert_date(events(spark, tmp_path / "in", feature()), RUN_AT)
     spark.sql(f"CREATE DATABASE quakes LOCATION '{tmp_path}/quakes'")
     try:
@@ -150,7 +151,7 @@ def test_documents_are_bounded_and_whole(spark, tmp_path, n, per_document):
     assert all(size <= per_document for size in found)
 
 
-def test_session_settings(spark, monkeypatch):
+def test_session_settings(spark):
     require_utc(spark)
     spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
     try:

@@ -32,6 +32,11 @@ def main(arguments: list[str] | None = None) -> None:
     batch.add_argument("--root", required=True, help="folder of landing, silver and rejected")
     batch.add_argument("--run", required=True, help="stamp of the run, as 20241025_075530 (UTC)")
     batch.add_argument("--by-day", action="store_true", help="lay the table out by day")
+    batch.add_argument(
+        "--by-run",
+        action=argparse.BooleanOptionalAction,
+        help="keep the run in a table partition of its own (default where possible)",
+    )
 
     stream = commands.add_parser("ingest-new", help="clean what landed since the last call")
     stream.add_argument("--root", required=True)
@@ -67,6 +72,7 @@ def main(arguments: list[str] | None = None) -> None:
             _options(given),
             catalog=given.catalog,
             format=given.format,
+            by_run=given.by_run,
             by_day=given.by_day,
         )
         print(report)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremorline.sources.table import DAY
+from tremorline.schema import DAY
 
 
 def count_by_day(events: DataFrame) -> DataFrame:

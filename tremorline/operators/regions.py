@@ -13,7 +13,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremorline.sources.table import DAY
+from tremorline.schema import DAY
 
 
 def area_and_magnitude(events: DataFrame) -> DataFrame:

@@ -16,12 +16,19 @@ from tremorline.operators import (
     explode_features,
     insert_date,
 )
-from tremorline.sources import Run, append_table, read_landing, read_table, rejected
-from tremorline.sources import write_landing, write_silver
+from tremorline.schema import RUN
+from tremorline.sources import (
+    Run,
+    append_table,
+    read_landing,
+    read_table,
+    rejected,
+    write_landing,
+    write_silver,
+)
 from tremorline.sources.landing import is_rejected
 from tremorline.sources.paths import require_utc
 from tremorline.sources.silver import SECOND_FORMAT, SUBSECOND_FORMAT
-from tremorline.sources.table import RUN
 
 log = logging.getLogger(__name__)
 
@@ -33,6 +40,7 @@ class IngestReport:
 
 
 def document_counts() -> list[Column]:
+    """Aggregates that an ingestion observes over the documents it reads."""
     return [
         F.count(F.lit(1)).alias("documents"),
         F.count_if(is_rejected()).alias("rejected"),

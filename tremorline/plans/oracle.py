@@ -100,9 +100,12 @@ UNION ALL SELECT 'accepted', NULL, count(*) FROM feed""",
     "append_twice": "SELECT area, 2 * count(*) AS n FROM q GROUP BY area",
     "typed_table": "SELECT "
     + ", ".join(
-        f"{'0' if ddl == 'timestamp' else f'count({name})'} AS n_{name}" for name, ddl in PROPERTIES
+        f"count({'NULL' if ddl == 'timestamp' else name}) AS n_{name}" for name, ddl in PROPERTIES
+    )
+    + "".join(
+        f", count(NULL) AS n_{name}"
+        for name in ("area", "latitude", "longitude", "depth", "insert_date")
     )
-    + ", 0 AS n_area, 0 AS n_latitude, 0 AS n_longitude, 0 AS n_depth, 0 AS n_insert_date"
     + f", 'struct<{_TABLE_TYPES}>' AS schema FROM feed",
     "autodetect_append": f"""SELECT area, count(*) AS n, count(mag) AS n_mag,
 count(*) FILTER (WHERE mng = 'None') AS n_mng_missing, count(mng) AS n_mng

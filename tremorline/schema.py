@@ -42,8 +42,13 @@ NESTED_GEOMETRY = ["longtiude", "latitude", "depth"]
 # The same three coordinates as top-level columns, by position.
 FLAT_GEOMETRY = ["longitude", "latitude", "depth"]
 
+# Where the scan puts the text of a line it cannot read.
 CORRUPT = "_corrupt_record"
 
+# Partition columns of the table: each run's rows, and each UTC day of ``time``.
+RUN = "insert_date"
+DAY = "event_date"
+
 
 def feed_schema() -> T.StructType:
     """Read schema of one landed document (one FeatureCollection per line).

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremorline.schema import CORRUPT, feed_schema
@@ -16,7 +16,10 @@ def write_landing(lines: DataFrame, path: str) -> None:
 
 
 def read_landing(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Parse landed documents in the scan, once. ``path`` is a folder, file or glob."""
+    """Parse landed documents in the scan, once. ``path`` is a folder, file or glob.
+
+    A line holds one document; the reader does not look at text that follows it.
+    """
     return spark.read.schema(feed_schema()).options(**_OPTIONS).json(path)
 
 
@@ -28,7 +31,7 @@ def stream_landing(spark: SparkSession, path: str, max_files: int | None = None)
     return reader.json(path)
 
 
-def is_rejected() -> F.Column:
+def is_rejected() -> Column:
     """True for a document that holds no ``features``: unreadable, or another object.
 
     An empty ``features`` array is an ordinary document.

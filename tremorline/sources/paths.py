@@ -31,15 +31,18 @@ class Run:
 
     @property
     def landing(self) -> str:
-        return f"{self.root}/{LANDING}/{self.stamp}"
+        return self._folder(LANDING)
 
     @property
     def silver(self) -> str:
-        return f"{self.root}/{SILVER}/{self.stamp}"
+        return self._folder(SILVER)
 
     @property
     def rejected(self) -> str:
-        return f"{self.root}/{REJECTED}/{self.stamp}"
+        return self._folder(REJECTED)
+
+    def _folder(self, layer: str) -> str:
+        return f"{self.root.rstrip('/')}/{layer}/{self.stamp}"
 
 
 def require_utc(spark: SparkSession) -> None:

@@ -6,9 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Partition columns: each run's rows, and each UTC day of ``time``.
-RUN = "insert_date"
-DAY = "event_date"
+from tremorline.schema import DAY, RUN
 
 
 def conform(events: DataFrame, schema: T.StructType) -> DataFrame:

@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tremorline.operators import CleanOptions, add_insert_date, clean, explode_features
 from tremorline.plans.ingestion import IngestReport, document_counts
+from tremorline.schema import RUN
 from tremorline.sources.landing import rejected, stream_landing
 from tremorline.sources.paths import LANDING, REJECTED, SILVER, require_utc
 from tremorline.sources.silver import SECOND_FORMAT, SUBSECOND_FORMAT
-from tremorline.sources.table import RUN, conform
+from tremorline.sources.table import conform
 
 
 def ingest_new_documents(
