@@ -113,6 +113,23 @@ def test_nothing_usable_landed(spark, tmp_path, texts, by_day):
     assert spark.read.schema("code string").json(run.silver).count() == 0
 
 
+def test_a_run_is_not_appended_twice(spark, tmp_path):
+    table = f"{tmp_path}/table"
+    spark.sql(f"CREATE DATABASE quakes3 LOCATION '{tmp_path}/quakes3'")
+    try:
+        for target, catalog in ((table, False), ("quakes3.events", True)):
+            for root in ("first", "second"):
+                run = Run(f"{tmp_path}/{root}-{catalog}", RUN_AT)
+                if root == "first":
+                    ingest(spark, run, target, lines=lines(spark, *LINES), catalog=catalog)
+                    continue
+                with pytest.raises(ValueError, match="already holds run 20241025_075530"):
+                    ingest(spark, run, target, lines=lines(spark, *LINES), catalog=catalog)
+            assert read_table(spark, target, catalog=catalog).count() == 3
+    finally:
+        spark.sql("DROP DATABASE quakes3 CASCADE")
+
+
 def test_runs_with_fractions_have_no_partition(spark, tmp_path):
     with pytest.raises(ValueError, match="whole seconds"):
         ingest(

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,8 +66,9 @@ def ingest(
     With ``by_run`` (default for insert dates of whole seconds) the table is appended
     first, the run's rows in a partition of their own, and silver is written from that
     partition. So documents are parsed once, nothing is cached, and a lost executor
-    costs no second parse of what is already written. Without it, as for a ``format``
-    that has no partitions, each sink parses the documents.
+    costs no second parse of what is already written. A run that the table holds already
+    is refused, so that repeating one cannot double its rows. Without ``by_run``, as for
+    a ``format`` that has no partitions, each sink parses the documents.
 
     Documents without ``features`` are counted and written to ``run.rejected``; the
     others go on.
@@ -83,6 +86,14 @@ def ingest(
     observation = Observation()
     observed = documents.select("features").observe(observation, *document_counts())
     events = add_insert_date(clean(explode_features(observed), options), run.at, options)
+    schema = options.table_schema() or events.schema
+
+    def this_run() -> DataFrame:
+        table_rows = read_table(spark, table, schema, catalog=catalog, format=format)
+        return table_rows.where(F.col(RUN) == insert_date(run.at, options)).select(schema.names)
+
+    if by_run and _holds_rows(this_run):
+        raise ValueError(f"{table} already holds run {run.stamp}; drop its partition to repeat it")
     append_table(
         events,
         table,
@@ -95,10 +106,7 @@ def ingest(
     report = _report(observation, documents)
 
     if by_run:
-        schema = options.table_schema() or events.schema
-        appended = read_table(spark, table, schema, catalog=catalog, format=format)
-        silver = appended.where(F.col(RUN) == insert_date(run.at, options))
-        silver = silver.select(schema.names)
+        silver = this_run()
     else:
         silver = clean(explode_features(documents), options)
     write_silver(silver.drop(RUN), run.silver, SUBSECOND_FORMAT if fraction else SECOND_FORMAT)
@@ -110,6 +118,15 @@ def ingest(
     return report
 
 
+def _holds_rows(rows: Callable[[], DataFrame]) -> bool:
+    try:
+        return not rows().isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+            return False
+        raise
+
+
 def _report(observation: Observation, documents: DataFrame) -> IngestReport:
     try:
         return IngestReport(**observation.get)
