@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +23,7 @@ from tremorline.sources import (
     read_landing,
     read_table,
     rejected,
+    table_exists,
     write_landing,
     write_silver,
 )
@@ -92,7 +91,7 @@ def ingest(
         table_rows = read_table(spark, table, schema, catalog=catalog, format=format)
         return table_rows.where(F.col(RUN) == insert_date(run.at, options)).select(schema.names)
 
-    if by_run and _holds_rows(this_run):
+    if by_run and table_exists(spark, table, catalog=catalog) and not this_run().isEmpty():
         raise ValueError(f"{table} already holds run {run.stamp}; drop its partition to repeat it")
     append_table(
         events,
@@ -118,15 +117,6 @@ def ingest(
     return report
 
 
-def _holds_rows(rows: Callable[[], DataFrame]) -> bool:
-    try:
-        return not rows().isEmpty()
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
-            return False
-        raise
-
-
 def _report(observation: Observation, documents: DataFrame) -> IngestReport:
     try:
         return IngestReport(**observation.get)

@@ -1,7 +1,7 @@
 from tremorline.sources.landing import read_landing, rejected, write_landing
 from tremorline.sources.paths import Run
 from tremorline.sources.silver import read_silver, write_silver
-from tremorline.sources.table import append_table, conform, read_table
+from tremorline.sources.table import append_table, conform, read_table, table_exists
 
 __all__ = [
     "Run",
@@ -11,6 +11,7 @@ __all__ = [
     "read_silver",
     "read_table",
     "rejected",
+    "table_exists",
     "write_landing",
     "write_silver",
 ]

@@ -77,6 +77,14 @@ def read_table(
     return reader.load(source)
 
 
+def table_exists(spark: SparkSession, source: str, *, catalog: bool = False) -> bool:
+    if catalog:
+        return spark.catalog.tableExists(source)
+    # Asked of the file system: a read that fails is logged as a failed query.
+    path = spark._jvm.org.apache.hadoop.fs.Path(source)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def _conformed(events: DataFrame, field: T.StructField) -> Column:
     if field.name not in events.columns:
         return F.lit(None).cast(field.dataType).alias(field.name)
