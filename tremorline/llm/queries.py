@@ -94,20 +94,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 _TREE = """
-list_transform(string_split({text}, chr(10) || chr(10)), s ->
-  list_transform(string_split(s, chr(10)), p ->
-    list_transform(regexp_extract_all(p, '(?:[^ ]{{1,24}} *){{1,4}}| +'), w -> sha256(w))))
+list_transform(string_split({text}, chr(10) || chr(10)), lambda s:
+  list_transform(string_split(s, chr(10)), lambda p:
+    list_transform(regexp_extract_all(p, '(?:[^ ]{{1,24}} *){{1,4}}| +'), lambda w: sha256(w))))
 """
 _PRINT = """
-sha256(array_to_string(list_transform({tree}, s ->
-  sha256(array_to_string(list_transform(s, p -> sha256(array_to_string(p, ''))), ''))), ''))
-|| '/' || array_to_string(list_transform({tree}, s ->
-  substr(sha256(array_to_string(list_transform(s, p -> sha256(array_to_string(p, ''))), '')), 1, 16)
-  || ':' || array_to_string(list_transform(s, p ->
+sha256(array_to_string(list_transform({tree}, lambda s:
+  sha256(array_to_string(list_transform(s, lambda p: sha256(array_to_string(p, ''))), ''))), ''))
+|| '/' || array_to_string(list_transform({tree}, lambda s:
+  substr(sha256(array_to_string(list_transform(s, lambda p: sha256(array_to_string(p, ''))), '')), 1, 16)
+  || ':' || array_to_string(list_transform(s, lambda p:
     array_to_string(list_prepend(substr(sha256(array_to_string(p, '')), 1, 12),
-      list_transform(p, h -> substr(h, 1, 8))), ' ') || CASE WHEN len(p) = 0 THEN ' ' ELSE '' END), ';')), '/')
+      list_transform(p, lambda h: substr(h, 1, 8))), ' ') || CASE WHEN len(p) = 0 THEN ' ' ELSE '' END), ';')), '/')
 """
-_PIECES = "list_distinct(list_filter(string_split_regex({f}, '[/:; ]'), h -> len(h) = 8))"
+_PIECES = "list_distinct(list_filter(string_split_regex({f}, '[/:; ]'), lambda h: len(h) = 8))"
 _LIKE = """
 CASE WHEN substr({a}, 1, 64) = substr({b}, 1, 64) THEN 1.0
 ELSE 2.0 * len(list_intersect({pa}, {pb})) / greatest(len({pa}) + len({pb}), 1) END
@@ -142,7 +142,7 @@ _JACCARD_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM documents
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
 ), s AS (
   SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
   FROM w, unnest(generate_series(1, greatest(len(words) - 4, 1))) AS g(i) WHERE len(words) > 0
