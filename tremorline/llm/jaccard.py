@@ -15,10 +15,11 @@ A size-aware heavy-light join. Equal sets become one class first. Then
 The boundary is where enumerating subsets costs more keys than scanning lists.
 
 Lists can be as long as a group of near copies, so no list is expanded into all pairs.
-First each member is compared with its list's first document, and what is linked
-becomes a component. A list that has but one component is done. In another one, only the
-members outside its largest component are compared with the rest, and only across
-components. That leaves no pair uncompared that could join two components.
+First, for a few rounds, each member is compared with one document of its list, and what
+is linked becomes a component. A list that has but one component is done. In another
+one, the members outside its largest component are compared with the rest, across
+components, if the key's places in both allow the threshold. That leaves no pair
+uncompared that could join two components.
 
 Defined cases: a null text, or one without words, has no shingles and links with
 nothing; fewer than ``SHINGLE`` words are one shingle; a row without an id is counted
@@ -48,6 +49,8 @@ SHINGLE = 5
 THRESHOLD = Fraction(4, 5)
 #: Sizes that are tried as the boundary, and keys that one shingle in a list counts for.
 MAX_LIGHT = 16
+#: Times that lists are compared with one of their documents before all pairs are.
+STAR_ROUNDS = 2
 LIST_COST = 4
 #: Bytes of text that stand for one chunk of lists.
 CHUNK_BYTES = 32_000_000
@@ -217,7 +220,8 @@ def _keys(docs: DataFrame, levels: np.ndarray, boundary: int) -> DataFrame:
 
 
 def _shared_postings(keys: DataFrame, chunks: int) -> DataFrame:
-    """(key, doc_id, n) for the keys that at least two documents have."""
+    """(key, doc_id, n, light, place) for the keys that at least two documents have; ``place``
+    is a list key's place in the document's order."""
     rows = keys.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)))
     edges = np.array([(b << 64) // chunks for b in range(chunks)], np.uint64)
 
@@ -270,6 +274,7 @@ def _shared_postings(keys: DataFrame, chunks: int) -> DataFrame:
                 "doc_id": pa.array(np.repeat(ids, lengths)[keep]),
                 "n": pa.array(np.repeat(sizes, lengths)[keep]),
                 "light": pa.array(is_light[keep]),
+                "place": pa.array(place[keep]),
             }
         )
 
@@ -278,7 +283,7 @@ def _shared_postings(keys: DataFrame, chunks: int) -> DataFrame:
     return (
         rows.groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))
-        .applyInArrow(finish, "key long, doc_id long, n long, light boolean")
+        .applyInArrow(finish, "key long, doc_id long, n long, light boolean, place long")
     )
 
 
@@ -357,31 +362,35 @@ def link(docs: DataFrame) -> DataFrame:
     )
     light_edges = _light_edges(light, met)
 
-    # Heavy, first step: everyone against the first document of the list.
-    lists = postings.where("not light").select("key", "doc_id", "n").distinct()
-    first = lists.groupBy("key").agg(F.min(F.struct("doc_id", "n")).alias("first"))
-    stars = lists.join(first, "key").where(F.col("doc_id") != F.col("first.doc_id"))
-    stars = stars.where(_compared(F.col("n"), F.col("first.n"), boundary))
-    stars = stars.select(F.col("doc_id").alias("a"), F.col("first.doc_id").alias("b"))
-    edges = written(light_edges.union(verified(docs, stars)), "links")
+    # Heavy, first step: the members of each list against its most central document.
+    lists = written(_weighted(postings.where("not light").select("key", "doc_id", "n", "place").distinct()), "lists")
+    edges = written(light_edges, "links")
     found = components(edges)
-
-    # Heavy, second step: lists that still hold several components.
-    placed = lists.join(found.withColumnRenamed("vertex", "doc_id"), "doc_id", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "doc_id"))
-    parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("members"))
-    main = parts.groupBy("key").agg(
-        F.max_by("component", F.struct("members", "component")).alias("main"), F.count(F.lit(1)).alias("parts")
-    )
-    mixed = written(placed.join(main.where("parts > 1"), "key"), "mixed")
+    for turn in range(STAR_ROUNDS):
+        mixed = _mixed(lists, found)
+        pivot = F.max(F.struct("weight", (-F.col("doc_id")).alias("minus_id"), "n", "place", "component"))
+        usable = mixed if turn == 0 else mixed.where("component <> main")
+        pivots = usable.groupBy("key").agg(pivot.alias("pivot"))
+        stars = mixed.join(pivots, "key").where(F.col("component") != F.col("pivot.component"))
+        sizes = (F.col("n"), F.col("pivot.n"), F.col("place"), F.col("pivot.place"))
+        stars = stars.where(_compared(*sizes, boundary))
+        stars = stars.select(F.col("doc_id").alias("a"), (-F.col("pivot.minus_id")).alias("b"))
+        edges = written(edges.union(verified(docs, stars)), "links")
+        found = components(edges)
+
+    # Heavy, second step: across the components that lists still hold.
+    mixed = _mixed(lists, found)
     outside = mixed.where("component <> main").select(
-        "key", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("of_a")
+        "key", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("place_a"), F.col("component").alias("of_a")
     )
-    rest = mixed.select("key", F.col("doc_id").alias("b"), "n", F.col("component").alias("of_b"), "main")
+    rest = mixed.select(
+        "key", F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("place_b"), F.col("component").alias("of_b"), "main"
+    )
+    sizes = (F.col("n_a"), F.col("n_b"), F.col("place_a"), F.col("place_b"))
     across = outside.join(rest, "key").where(
         (F.col("of_a") != F.col("of_b"))
         & ((F.col("of_b") == F.col("main")) | (F.col("a") > F.col("b")))
-        & _compared(F.col("n_a"), F.col("n"), boundary)
+        & _compared(*sizes, boundary)
     )
     across = across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     more = verified(docs, across)
@@ -403,8 +412,31 @@ def _light_edges(light: DataFrame, met: DataFrame) -> DataFrame:
     return light.join(linked, "key").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b").distinct()
 
 
-def _compared(n: Column, m: Column, boundary: int) -> Column:
-    """Sizes that can reach the threshold, and not both light."""
+def _weighted(lists: DataFrame) -> DataFrame:
+    """Lists with ``weight``: how long the lists are, together, that a document is in. In a
+    group of near copies the text that the others were made from has the most."""
+    lengths = lists.groupBy("key").agg(F.count(F.lit(1)).alias("length"))
+    weights = lists.join(lengths, "key").groupBy("doc_id").agg(F.sum("length").alias("weight"))
+    return lists.join(weights, "doc_id")
+
+
+def _mixed(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """The members, with component and the list's largest one (main), of the lists that
+    hold more than one component."""
+    placed = lists.join(found.withColumnRenamed("vertex", "doc_id"), "doc_id", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "doc_id"))
+    parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("members"))
+    main = parts.groupBy("key").agg(
+        F.max_by("component", F.struct("members", "component")).alias("main"), F.count(F.lit(1)).alias("parts")
+    )
+    return written(placed.join(main.where("parts > 1"), "key"), "mixed")
+
+
+def _compared(n: Column, m: Column, place_n: Column, place_m: Column, boundary: int) -> Column:
+    """Whether a common key at these places can be the first that two sets have in common,
+    if they reach the threshold; and they are not both light."""
+    t = THRESHOLD
     low, high = F.least(n, m), F.greatest(n, m)
-    fit = THRESHOLD.denominator * low >= THRESHOLD.numerator * high
-    return fit & (high > boundary)
+    fit = t.denominator * low >= t.numerator * high
+    least = F.ceil(t.numerator * (n + m) / (t.numerator + t.denominator))
+    return fit & (place_n + least <= n) & (place_m + least <= m) & (high > boundary)
