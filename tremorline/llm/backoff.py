@@ -83,6 +83,17 @@ def _join(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers as bytes, all first bytes before all second ones and so on: the high bytes of
+    small numbers are runs of zeros, which shuffles compress."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _from_planes(blob: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
+
+
 def _split(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Where each bucket begins among sorted keys: buckets are ranges of the key space."""
     edges = [(b << 64) // buckets for b in range(buckets)]
@@ -105,8 +116,8 @@ def _requests(
         {
             "bucket": pa.array([r[0] for r in rows], pa.int32()),
             "chunk": pa.array([chunk] * len(rows), pa.int64()),
-            "keys": pa.array([keys[a:b].tobytes() for _, a, b in rows], pa.binary()),
-            "counts": pa.array([counts[a:b].astype("<u4").tobytes() for _, a, b in rows], pa.binary()),
+            "keys": pa.array([_planes(np.diff(keys[a:b], prepend=np.uint64(0))) for _, a, b in rows], pa.binary()),
+            "counts": pa.array([_planes(counts[a:b].astype("<u4")) for _, a, b in rows], pa.binary()),
         }
     )
 
@@ -115,8 +126,9 @@ _REQUESTS = "bucket int, chunk long, keys binary, counts binary"
 
 
 def _summed(table: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
-    keys = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
-    counts = [np.frombuffer(x, "<u4") for x in table.column("counts").to_pylist()]
+    # Keys came as the differences of sorted ones.
+    keys = [np.cumsum(_from_planes(x, "<u8"), dtype=np.uint64) for x in table.column("keys").to_pylist()]
+    counts = [_from_planes(x, "<u4") for x in table.column("counts").to_pylist()]
     distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     totals = np.bincount(inverse, np.concatenate(counts)).astype(np.int64)
     return [len(k) for k in keys], distinct, totals, inverse
@@ -222,7 +234,7 @@ def score(docs: DataFrame, order: int = ORDER, strength: float = STRENGTH) -> Da
                 "chunk": table.column("chunk"),
                 "bucket": table.column("bucket"),
                 "totals": pa.array(
-                    [found[a:b].tobytes() for a, b in zip(borders[:-1], borders[1:])], pa.binary()
+                    [_planes(found[a:b]) for a, b in zip(borders[:-1], borders[1:])], pa.binary()
                 ),
             }
         )
@@ -234,7 +246,7 @@ def score(docs: DataFrame, order: int = ORDER, strength: float = STRENGTH) -> Da
         totals = np.zeros(len(keys), np.int64)
         for bucket, blob in zip(answers.column("bucket").to_pylist(), answers.column("totals").to_pylist()):
             a, b = at[bucket], at[bucket + 1]
-            totals[a:b] = np.frombuffer(blob, "<u4" if len(blob) == 4 * (b - a) else "<u8")
+            totals[a:b] = _from_planes(blob, "<u4" if len(blob) == 4 * (b - a) else "<u8")
         counts = [totals[np.searchsorted(keys, level)] for level in tokens.keys]
         for level, own in zip(tokens.keys, counts):
             own[level == 0] = 0
