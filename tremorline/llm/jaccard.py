@@ -51,7 +51,7 @@ THRESHOLD = Fraction(4, 5)
 MAX_LIGHT = 16
 #: Times that lists are compared with one of their documents before all pairs are.
 STAR_ROUNDS = 2
-LIST_COST = 4
+LIST_COST = 8
 #: Bytes of text that stand for one chunk of lists.
 CHUNK_BYTES = 32_000_000
 #: Cells of the sketch: the bounds of its size, and shingles that share a cell.

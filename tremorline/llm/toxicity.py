@@ -227,8 +227,9 @@ def train(texts: list[str], labels: list[int], share: float, seed: int = 5) -> N
         chosen = order[(rank == 0) | ((y[of[order]] == 0) & ((rank == 1) | (draw.random(len(order)) < 0.05)))]
         for _ in range(PASSES):
             draw.shuffle(chosen)
-            for i in range(0, len(chosen), 256):
-                part = chosen[i : i + 256]
+            step = min(256, max(16, len(chosen) // 24))
+            for i in range(0, len(chosen), step):
+                part = chosen[i : i + step]
                 used, local = np.unique(windows[part], return_inverse=True)
                 words = [distinct[u] for u in used if u < len(distinct)]
                 if len(words) == len(used):
