@@ -175,3 +175,10 @@ def test_area_and_strip_equal_python(spark, values):
 
     assert apply(spark, values, area_of) == [expected(v) for v in values]
     assert apply(spark, values, strip) == [v.strip() for v in values]
+
+
+@pytest.mark.parametrize("text", ["5d", "5f", "0x1p3", "NaN", "Infinity", "-Infinity", "1e999", "1_0", ""])
+def test_spellings_that_are_no_numbers(spark, text):
+    token = F.lit(text)
+    row = spark.range(1).select(as_double(token).alias("d"), as_bigint(token).alias("n")).first()
+    assert (row.d, row.n) == (None, None)

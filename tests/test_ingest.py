@@ -130,11 +130,32 @@ def test_a_run_is_not_appended_twice(spark, tmp_path):
         spark.sql("DROP DATABASE quakes3 CASCADE")
 
 
-def test_runs_with_fractions_have_no_partition(spark, tmp_path):
-    with pytest.raises(ValueError, match="whole seconds"):
-        ingest(
-            spark, Run(str(tmp_path), RUN_AT), "t", subsecond_events(ZONE), by_run=True
-        )
+def test_one_table_takes_all_shapes(spark, tmp_path):
+    table = f"{tmp_path}/table"
+    shapes = [nested_events(), flat_events(), subsecond_events(ZONE)]
+    for second, options in enumerate(shapes):
+        run = Run(str(tmp_path), RUN_AT.replace(second=second))
+        ingest(spark, run, table, options, lines=lines(spark, *LINES))
+    assert read_table(spark, table, merge_schema=True).count() == 9
+    for wrong in ({"by_run": False}, {"by_day": True, "by_run": False}):
+        run = Run(str(tmp_path), RUN_AT.replace(second=40 + len(wrong)))
+        with pytest.raises(ValueError, match="laid out by"):
+            ingest(spark, run, table, lines=lines(spark, *LINES), **wrong)
+    with pytest.raises(ValueError, match="as bigint, not as string"):
+        run = Run(str(tmp_path), RUN_AT.replace(second=50))
+        ingest(spark, run, table, string_events(ZONE), lines=lines(spark, *LINES))
+    assert read_table(spark, table, merge_schema=True).count() == 9
+
+
+def test_a_run_that_lacks_silver_goes_on(spark, tmp_path):
+    run, table = Run(str(tmp_path), RUN_AT), f"{tmp_path}/table"
+    first = ingest(spark, run, table, lines=lines(spark, *LINES))
+    for part in Path(run.silver).iterdir():
+        part.unlink()
+    assert ingest(spark, run, table) == first
+    assert spark.read.json(run.silver).count() == read_table(spark, table).count() == 3
+    with pytest.raises(ValueError, match="already holds"):
+        ingest(spark, run, table)
 
 
 def test_session_must_be_utc(spark, tmp_path):

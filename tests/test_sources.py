@@ -176,3 +176,13 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(Session(), "x")
+
+
+def test_lines_that_are_not_one_document_are_rejected(spark, tmp_path):
+    good = document(feature(code="a"))
+    odd = [good + good, good + ", " + good, good + " trailing", f"[{good}]", '"text"', "3"]
+    path = land(tmp_path / "landing", good, *odd, "", "  ")
+    documents = read_landing(spark, path)
+    assert documents.count() == 1 + len(odd)
+    found = sorted((row.reason, row.line) for row in rejected(documents).collect())
+    assert found == sorted(("unreadable", line) for line in odd)

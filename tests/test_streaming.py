@@ -75,3 +75,15 @@ def test_options_apply(spark, tmp_path):
     ingest_new_documents(spark, root, f"{root}/table", f"{root}/checkpoint", options)
     row = read_table(spark, f"{root}/table").selectExpr("cast(time as string)", "area").first()
     assert row == ("2024-10-25 00:55:30.123", None)
+
+
+def test_rejects_of_many_batches_are_all_counted(spark, tmp_path):
+    root = str(tmp_path)
+    folder = Path(Run(root, RUN_AT).landing)
+    folder.mkdir(parents=True)
+    for i in range(105):
+        text = "None" if i == 0 else document(feature(code=str(i)))
+        (folder / f"{i:03}.json").write_text(text + "\n")
+    report = ingest_new_documents(spark, root, f"{root}/table", f"{root}/checkpoint", max_files=1)
+    assert report == IngestReport(documents=105, rejected=1)
+    assert [row.line for row in spark.read.json(f"{root}/rejected/stream").collect()] == ["None"]

@@ -7,7 +7,7 @@ from tremorline.operators import (
     string_events,
     subsecond_events,
 )
-from tremorline.plans import IngestReport, analyse, ingest, show_answers
+from tremorline.plans import IngestReport, analyse, ingest, show_answers, write_answers
 from tremorline.sources import Run, read_table
 from tremorline.streaming import ingest_new_documents
 
@@ -24,4 +24,5 @@ __all__ = [
     "show_answers",
     "string_events",
     "subsecond_events",
+    "write_answers",
 ]

@@ -18,6 +18,7 @@ from tremorline import (
     show_answers,
     string_events,
     subsecond_events,
+    write_answers,
 )
 from tremorline.sources.paths import STAMP
 
@@ -35,7 +36,8 @@ def main(arguments: list[str] | None = None) -> None:
     batch.add_argument(
         "--by-run",
         action=argparse.BooleanOptionalAction,
-        help="keep the run in a table partition of its own (default where possible)",
+        default=True,
+        help="keep the run in a table partition of its own (default)",
     )
 
     stream = commands.add_parser("ingest-new", help="clean what landed since the last call")
@@ -44,6 +46,9 @@ def main(arguments: list[str] | None = None) -> None:
 
     questions = commands.add_parser("analyse", help="print the answer to every question")
 
+    questions.add_argument("--output", help="folder for all answers, as parquet, unprinted")
+    questions.add_argument("--rows", type=int, help="print so many rows of each answer at most")
+
     for command in (batch, stream, questions):
         command.add_argument("--table", required=True, help="path, or name with --catalog")
     for command in (batch, questions):
@@ -62,7 +67,10 @@ def main(arguments: list[str] | None = None) -> None:
     )
     if given.command == "analyse":
         table = read_table(spark, given.table, catalog=given.catalog, format=given.format)
-        show_answers(table)
+        if given.output:
+            write_answers(table, given.output)
+        else:
+            show_answers(table, given.rows)
     elif given.command == "ingest":
         run = Run(given.root, datetime.strptime(given.run, STAMP).replace(tzinfo=timezone.utc))
         report = ingest(

@@ -6,10 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed value: how numbers are spelled. Casts alone would take Java's suffixes and
+# hexadecimal forms too.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def as_double(token: Column) -> Column:
-    return token.try_cast("double")
+    """NaN and infinities give NULL: they would win every comparison and spoil every mean."""
+    number = F.when(token.cast("string").rlike(NUMBER), token).try_cast("double")
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def as_bigint(token: Column) -> Column:
     """Whole-number tokens are taken exactly; ``3.0`` and ``1.7e12`` go through double."""
-    return F.coalesce(token.try_cast("bigint"), token.try_cast("double").try_cast("bigint"))
+    plain = F.when(token.cast("string").rlike(NUMBER), token)
+    return F.coalesce(plain.try_cast("bigint"), plain.try_cast("double").try_cast("bigint"))

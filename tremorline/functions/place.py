@@ -12,9 +12,10 @@ SEPARATOR = " of "
 
 # All characters that count as blank at either end of a region name.
 BLANKS = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
+    "\x09\x0a\x0b\x0c\x0d\x1c\x1d\x1e"
+    "\x1f\x20\x85\xa0\u1680\u2000\u2001\u2002"
+    "\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 

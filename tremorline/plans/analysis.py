@@ -29,8 +29,17 @@ def analyse(events: DataFrame) -> dict[str, DataFrame]:
     return {name: question(events) for name, question in QUESTIONS.items()}
 
 
-def show_answers(events: DataFrame, rows: int = 20) -> None:
-    """Print the first rows of every answer."""
+def write_answers(events: DataFrame, folder: str, format: str = "parquet") -> None:
+    """Write every answer in full, each into a folder of its question's name."""
+    for question, answer in analyse(events).items():
+        answer.write.format(format).save(f"{folder.rstrip('/')}/{question}")
+
+
+def show_answers(events: DataFrame, rows: int | None = None) -> None:
+    """Print every answer, in full or its first ``rows`` and how many more there are."""
     for question, answer in analyse(events).items():
         print(question)
-        answer.show(rows, truncate=False)
+        total = answer.count()
+        answer.show(total if rows is None else rows, truncate=False)
+        if rows is not None and total > rows:
+            print(f"{total - rows} more rows")

@@ -31,6 +31,7 @@ from tremorline.sources import (
     read_silver,
     read_table,
     rejected,
+    united,
     write_landing,
 )
 from tremorline.sources.derived_feed import feed_rows, loosely_typed, to_documents, to_features
@@ -168,12 +169,13 @@ def typed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def autodetect_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two appends with schemas of their own, read as one table."""
+    """Two tables with schemas of their own, read as one."""
     target = scratch_dir(spark, "autodetect")
     features = _features(spark, sf_dir)
     append_table(ops.clean(features, ops.flat_events()), target)
-    append_table(ops.clean(features, ops.string_events(ZONE)).drop(*_CHANGED), target)
-    table = read_table(spark, target, merge_schema=True)
+    append_table(ops.clean(features, ops.string_events(ZONE)), f"{target}-text")
+    # The string shape spells some columns with another type; those are united as text.
+    table = united([read_table(spark, target), read_table(spark, f"{target}-text")])
     return table.groupBy("area").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("mag").alias("n_mag"),
@@ -182,10 +184,6 @@ def autodetect_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Columns that the string shape spells with another type.
-_CHANGED = ["tz", "felt", "cdi", "mmi", "nst", "dmin", "rms", "gap"]
-
-
 def mixed_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One table with appends of the nested and the flat shape, read as one."""
     target = scratch_dir(spark, "mixed-shapes")

@@ -45,8 +45,11 @@ FLAT_GEOMETRY = ["longitude", "latitude", "depth"]
 # Where the scan puts the text of a line it cannot read.
 CORRUPT = "_corrupt_record"
 
-# Partition columns of the table: each run's rows, and each UTC day of ``time``.
-RUN = "insert_date"
+# When a run's rows were inserted; an ordinary column.
+INSERTED = "insert_date"
+
+# Partition columns of the table: the stamp of each run, and each UTC day of ``time``.
+RUN = "run"
 DAY = "event_date"
 
 

@@ -1,7 +1,7 @@
 from tremorline.sources.landing import read_landing, rejected, write_landing
 from tremorline.sources.paths import Run
 from tremorline.sources.silver import read_silver, write_silver
-from tremorline.sources.table import append_table, conform, read_table, table_exists
+from tremorline.sources.table import append_table, conform, read_run, read_table, united
 
 __all__ = [
     "Run",
@@ -9,9 +9,10 @@ __all__ = [
     "conform",
     "read_landing",
     "read_silver",
+    "read_run",
     "read_table",
     "rejected",
-    "table_exists",
+    "united",
     "write_landing",
     "write_silver",
 ]

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tremorline.schema import CORRUPT, feed_schema
 
-_OPTIONS = {"columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"}
+FILE = "_file"
+
+_OPTIONS = {"allowSingleQuotes": "false"}
 
 
 def write_landing(lines: DataFrame, path: str) -> None:
@@ -16,19 +19,38 @@ def write_landing(lines: DataFrame, path: str) -> None:
 
 
 def read_landing(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Parse landed documents in the scan, once. ``path`` is a folder, file or glob.
+    """Parse landed documents, once. ``path`` is a folder, file or glob.
 
-    A line holds one document; the reader does not look at text that follows it.
+    A line holds one document. A line with anything after it, such as a second document,
+    or with a list around it is unreadable as a whole.
     """
-    return spark.read.schema(feed_schema()).options(**_OPTIONS).json(path)
+    return _parsed(spark.read.text(path))
 
 
 def stream_landing(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """The same as a stream of new files; ``max_files`` bounds those of one micro-batch."""
-    reader = spark.readStream.schema(feed_schema()).options(**_OPTIONS)
+    reader = spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    return _parsed(reader.text(path))
+
+
+def _parsed(lines: DataFrame) -> DataFrame:
+    # A parser stops after the first value of its text. Within brackets it has to read
+    # all of the line, and what is no single document shows.
+    document = feed_schema()["features"]
+    values = F.from_json(
+        F.concat(F.lit("["), "value", F.lit("]")),
+        T.ArrayType(T.StructType([document])),
+        _OPTIONS,
+    )
+    lines = lines.where(F.trim("value") != "").select(
+        values.alias("values"), "value", F.col("_metadata.file_path").alias(FILE)
+    )
+    one = F.when(F.size("values") == 1, F.get("values", F.lit(0)))
+    return lines.select(
+        one["features"].alias("features"), F.when(one.isNull(), F.col("value")).alias(CORRUPT), FILE
+    )
 
 
 def is_rejected() -> Column:
@@ -44,6 +66,6 @@ def rejected(documents: DataFrame) -> DataFrame:
     reason = F.when(F.col(CORRUPT).isNotNull(), "unreadable").otherwise("no features")
     return documents.where(is_rejected()).select(
         reason.alias("reason"),
-        F.col("_metadata.file_path").alias("file"),
+        F.col(FILE).alias("file"),
         F.col(CORRUPT).alias("line"),
     )

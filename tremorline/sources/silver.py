@@ -10,8 +10,10 @@ SECOND_FORMAT = "yyyy-MM-dd HH:mm:ss"
 SUBSECOND_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def write_silver(events: DataFrame, path: str, timestamp_format: str = SECOND_FORMAT) -> None:
-    writer = events.write.option("ignoreNullFields", "false")
+def write_silver(
+    events: DataFrame, path: str, timestamp_format: str = SECOND_FORMAT, mode: str = "errorifexists"
+) -> None:
+    writer = events.write.mode(mode).option("ignoreNullFields", "false")
     writer.option("timestampFormat", timestamp_format).json(path)
 
 

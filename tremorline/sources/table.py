@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tremorline.schema import DAY, RUN
+from tremorline.sources.files import names_in
 
 
 def conform(events: DataFrame, schema: T.StructType) -> DataFrame:
@@ -34,18 +35,21 @@ def append_table(
     """Append rows, creating the table if it is not there.
 
     ``target`` is a path, or a table name with ``catalog=True``. Without ``schema`` the
-    rows keep their own. All appends to a table must use the same layout:
+    rows keep their own. All appends to a table must use the same layout and the same
+    type for a column of one name; others are refused before anything is written:
 
-    - ``by_run`` keeps each run's rows in a partition of their own, at no extra cost.
+    - ``by_run`` (rows with a column ``run``) keeps each run's rows in a partition of
+      their own, at no extra cost.
     - ``by_day`` lays rows out by UTC day, so that day questions and time ranges skip
       other days' files. Days are gathered before the write, big ones split, to get
       few files of even size; that is one shuffle of the appended rows.
     """
     if schema is not None:
-        events = conform(events, schema)
+        events = conform(events, T.StructType([*schema, T.StructField(RUN, T.StringType())]) if by_run else schema)
     if by_day:
         events = events.withColumn(DAY, F.to_date("time")).hint("rebalance", DAY)
     partitions = [name for name, wanted in ((RUN, by_run), (DAY, by_day)) if wanted]
+    _refuse_a_mix(events, target, partitions, catalog=catalog, format=format)
     writer = events.write.mode("append").format(format)
     if partitions:
         writer = writer.partitionBy(*partitions)
@@ -70,19 +74,74 @@ def read_table(
     columns of differing appends; it looks into every file.
     """
     if catalog:
-        return spark.table(source)
+        return spark.table(source).drop(RUN)
     reader = spark.read.format(format).option("mergeSchema", merge_schema)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(source)
+    return reader.load(source).drop(RUN)
 
 
-def table_exists(spark: SparkSession, source: str, *, catalog: bool = False) -> bool:
+def read_run(
+    spark: SparkSession,
+    source: str,
+    stamp: str,
+    schema: T.StructType,
+    *,
+    catalog: bool = False,
+    format: str = "parquet",
+) -> DataFrame | None:
+    """One run's rows of a table that keeps runs apart, or None if it has none. Of a path
+    table only the run's own folder is looked at."""
+    if catalog:
+        if not spark.catalog.tableExists(source) or RUN not in spark.table(source).columns:
+            return None
+        rows = spark.table(source).where(F.col(RUN) == stamp).select(schema.names)
+        return None if rows.isEmpty() else rows
+    folder = f"{source.rstrip('/')}/{RUN}={stamp}"
+    if not names_in(spark, folder):
+        return None
+    return spark.read.format(format).schema(schema).load(folder).select(schema.names)
+
+
+def united(tables: list[DataFrame]) -> DataFrame:
+    """Rows of tables of differing shapes as one: columns by name, absent ones NULL, and as
+    text where the tables give one name different types."""
+    types: dict[str, set[str]] = {}
+    for rows in tables:
+        for name, kind in rows.dtypes:
+            types.setdefault(name, set()).add(kind)
+    both = [
+        rows.select([F.col(n).cast("string").alias(n) if len(types[n]) > 1 else F.col(n) for n in rows.columns])
+        for rows in tables
+    ]
+    out = both[0]
+    for rows in both[1:]:
+        out = out.unionByName(rows, allowMissingColumns=True)
+    return out
+
+
+def _refuse_a_mix(
+    events: DataFrame, target: str, partitions: list[str], *, catalog: bool, format: str
+) -> None:
+    """Readers of a folder with files and partitions side by side would lose some of them,
+    and a column of two types could not be read at all."""
+    spark = events.sparkSession
     if catalog:
-        return spark.catalog.tableExists(source)
-    # Asked of the file system: a read that fails is logged as a failed query.
-    path = spark._jvm.org.apache.hadoop.fs.Path(source)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+        if not spark.catalog.tableExists(target):
+            return
+        found = spark.table(target)
+    else:
+        names = [n for n in names_in(spark, target) if not n.startswith(("_", "."))]
+        if not names:
+            return
+        top = {n.partition("=")[0] if "=" in n else "" for n in names}
+        if top != {partitions[0] if partitions else ""}:
+            raise ValueError(f"{target} is laid out by {sorted(top)}, not by {partitions}")
+        found = spark.read.format(format).load(target)
+    kinds = dict(events.dtypes)
+    for name, kind in found.dtypes:
+        if name not in (RUN, DAY) and kinds.get(name, kind) != kind:
+            raise ValueError(f"{target} has {name} as {kind}, not as {kinds[name]}")
 
 
 def _conformed(events: DataFrame, field: T.StructField) -> Column:

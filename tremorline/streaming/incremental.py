@@ -8,11 +8,11 @@ not append to it, and readers must read its root folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tremorline.operators import CleanOptions, add_insert_date, clean, explode_features
 from tremorline.plans.ingestion import IngestReport, document_counts
-from tremorline.schema import RUN
+from tremorline.schema import INSERTED
 from tremorline.sources.landing import rejected, stream_landing
 from tremorline.sources.paths import LANDING, REJECTED, SILVER, require_utc
 from tremorline.sources.silver import SECOND_FORMAT, SUBSECOND_FORMAT
@@ -31,35 +31,54 @@ def ingest_new_documents(
     """Clean new documents under ``root`` into the table, then new table rows into silver.
 
     ``checkpoint`` is a folder of this stream's own; keep it between calls. ``max_files``
-    bounds the landed files of one micro-batch. Rejected documents are counted, and
-    only if there are any are the landed files looked through once more for them (a
-    call that was cut short leaves that to the next one that meets any).
+    bounds the landed files of one micro-batch. Rejected documents are set aside by a
+    stream of their own, which counts all documents of every micro-batch it runs.
     """
     require_utc(spark)
     documents = stream_landing(spark, f"{root}/{LANDING}/*", max_files)
-    observed = documents.select("features").observe("landed", *document_counts())
     # The insert date is the time of the micro-batch, which a repeated batch keeps.
-    events = add_insert_date(clean(explode_features(observed), options), None, options)
+    events = add_insert_date(clean(explode_features(documents), options), None, options)
     if options.table_schema() is not None:
         events = conform(events, options.table_schema())
-    report = _run_to_end(events, "parquet", table, f"{checkpoint}/table")
+    _run_to_end(events, "parquet", table, f"{checkpoint}/table")
 
-    rows = spark.readStream.schema(events.schema).parquet(table).drop(RUN)
+    rows = spark.readStream.schema(events.schema).parquet(table).drop(INSERTED)
     fraction = options.time_mode == "local_subsecond"
     silver = {
         "ignoreNullFields": "false",
         "timestampFormat": SUBSECOND_FORMAT if fraction else SECOND_FORMAT,
     }
     _run_to_end(rows, "json", f"{root}/{SILVER}/stream", f"{checkpoint}/silver", **silver)
-    if report.rejected:
-        target = f"{root}/{REJECTED}/stream"
-        _run_to_end(rejected(documents), "json", target, f"{checkpoint}/rejected")
-    return report
+    return _set_aside(documents, f"{root}/{REJECTED}/stream", f"{checkpoint}/rejected")
+
+
+def _set_aside(documents: DataFrame, path: str, checkpoint: str) -> IngestReport:
+    """Write rejected documents and count all of them, batch by batch. A batch that is
+    repeated replaces what it wrote, and counts for the call that ends it."""
+    counts: dict[int, dict[str, int]] = {}
+
+    def write(batch: DataFrame, number: int) -> None:
+        observation = Observation()
+        seen = batch.observe(observation, *document_counts())
+        rejected(seen).write.mode("overwrite").json(f"{path}/batch={number}")
+        counts[number] = observation.get
+
+    query = (
+        documents.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return IngestReport(
+        documents=sum(c["documents"] for c in counts.values()),
+        rejected=sum(c["rejected"] for c in counts.values()),
+    )
 
 
 def _run_to_end(
     rows: DataFrame, format: str, path: str, checkpoint: str, **settings: str
-) -> IngestReport:
+) -> None:
     query = (
         rows.writeStream.format(format)
         .options(**settings)
@@ -68,7 +87,3 @@ def _run_to_end(
         .start(path)
     )
     query.awaitTermination()
-    counts = [p.observedMetrics["landed"] for p in query.recentProgress if p.observedMetrics]
-    return IngestReport(
-        documents=sum(row.documents for row in counts), rejected=sum(row.rejected for row in counts)
-    )
