@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-# Fixed value: how numbers are spelled. Casts alone would take Java's suffixes and
-# hexadecimal forms too.
-NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+# How numbers are spelled, up to what a double holds. Casts alone would take
+# Java's suffixes and hexadecimal forms too, and make infinities of numbers beyond.
+_DIGITS = r"([0-9]{1,200}\.?[0-9]*|\.[0-9]+)"
+_LARGE = r"[0-9]\.?[0-9]*[eE]\+?([12][0-9]{2}|30[0-7])|1(\.[0-6][0-9]*)?[eE]\+?308"
+NUMBER = rf"^\s*[+-]?({_DIGITS}([eE](\+?[0-9]{{1,2}}|-[0-9]+))?|{_LARGE})\s*$"
 
 
 def as_double(token: Column) -> Column:
     """NaN and infinities give NULL: they would win every comparison and spoil every mean."""
-    number = F.when(token.cast("string").rlike(NUMBER), token).try_cast("double")
-    return F.when(F.abs(number) < float("inf"), number)
+    return F.when(token.cast("string").rlike(NUMBER), token.try_cast("double"))
 
 
 def as_bigint(token: Column) -> Column:
     """Whole-number tokens are taken exactly; ``3.0`` and ``1.7e12`` go through double."""
-    plain = F.when(token.cast("string").rlike(NUMBER), token)
-    return F.coalesce(plain.try_cast("bigint"), plain.try_cast("double").try_cast("bigint"))
+    number = F.coalesce(token.try_cast("bigint"), token.try_cast("double").try_cast("bigint"))
+    return F.when(token.cast("string").rlike(NUMBER), number)
