@@ -224,6 +224,30 @@ def test_mix_meets_targets(spark):
     assert arranged.count() == sum(r.passes for r in rows)
 
 
+def test_mix_goes_on_after_a_long_document(spark):
+    # A source with sizes of several magnitudes, and two of 300 short documents and a very
+    # long one, which crosses the end of the last pass's budget in the fixed order.
+    draw = random.Random(3)
+    rows = [(2000 + i, "w " * int(2 ** draw.uniform(0, 4)), "c") for i in range(200)]
+    total = 2 * 1900 + sum(len(text.split()) for _, text, _ in rows)
+    for source, first, budget in (("a", 0, total * 5 / 8 - 1900), ("b", 1000, total * 2 / 8)):
+        ids = spark.range(first, first + 301).withColumn("turn", F.xxhash64("id", F.lit("turn")))
+        order = [r.id for r in ids.orderBy("turn", "id").collect()]
+        crossing = int(budget - 200) // 5
+        assert 0 < crossing < 260
+        rows += [(i, "w " * (400 if k == crossing else 5), source) for k, i in enumerate(order)]
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted(r.doc_id for r in found) == sorted(i for i, _, _ in rows)
+    for source in "abc":
+        own = [r for r in found if r.source == source]
+        gap = own[0].target - sum(r.taken for r in own)
+        once = min(r.passes for r in own)
+        assert 0 <= gap < min(r.size for r in own if r.passes == once) and gap < 0.02 * own[0].target
+        # The documents of the last pass stand one after another, without holes.
+        assert all(r.passes in (once, once + 1) and r.positions == sorted(r.positions) for r in own)
+        assert len({p for r in own for p in r.positions}) == sum(r.passes for r in own)
+
+
 def test_schedule_is_inverted(spark):
     for knots in mixing.SCHEDULES.values():
         shares = [i / 20 for i in range(21)]

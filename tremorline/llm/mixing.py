@@ -7,7 +7,8 @@ cumulative demand, and the inverse of the integrated schedule turns the beginnin
 that stretch into the document's training position.
 
 Whole documents are taken. A source's last pass takes the documents that end within
-its target, and then, a few times, the largest one that fits into the gap that is left.
+its target, and then further ones that fit into the gap that is left, in rounds, until
+no document that it has not taken fits any more.
 
 Defined cases: a null text has size 0; a null source is a source of its own, ordered
 last; documents of size 0 are taken 0 times; repeated rows are separate documents; an
@@ -24,7 +25,6 @@ from tremorline.llm.common import running_start, word_list, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
-FILLS = 3
 #: Knots (time, relative demand) of the schedule of each weight: heavy sources come
 #: more at the beginning, light ones more towards the end.
 SCHEDULES = {
@@ -104,11 +104,7 @@ def mix(docs: DataFrame) -> DataFrame:
     full = F.floor(F.col("target") / F.greatest("source_size", F.lit(1)))
     placed = placed.withColumn("full", F.least(full, F.lit(MAX_REPEATS)).cast("long"))
     placed = placed.withColumn("budget", F.col("target") - F.col("full") * F.col("source_size"))
-    ends = F.col("start") + F.col("size")
-    placed = placed.withColumn("more", (F.col("size") > 0) & (ends <= F.col("budget")))
-    placed = written(placed.withColumn("last_start", F.col("start")), "placed")
-    for _ in range(FILLS):
-        placed = written(_fill(placed), "filled")
+    placed = _last_pass(placed)
 
     passes = F.when(
         F.col("size") > 0, F.col("full") + F.when(F.col("more"), 1).otherwise(0)
@@ -133,26 +129,54 @@ def mix(docs: DataFrame) -> DataFrame:
     )
 
 
-def _fill(placed: DataFrame) -> DataFrame:
-    """Add to each source's last pass the largest document that fits into its gap; among
-    equals the last in the fixed order."""
+def _last_pass(placed: DataFrame) -> DataFrame:
+    """``placed`` with more, whether a source's last pass takes the document, and
+    last_start, where it stands in that pass.
+
+    After the stretch of the fixed order that ends within the budget, each round takes,
+    of the documents of at most half the gap, the stretch that fits; where there are none,
+    the largest document that fits, among equals the last in the fixed order. A round
+    halves the gap or leaves only documents of more than half of it, so the rounds are
+    at most about twice the binary logarithm of the gap.
+    """
+    source = ["key", "last"]
+    columns = [*placed.columns, "more", "last_start"]
+    ends = F.col("start") + F.col("size")
+    placed = placed.withColumn("more", (F.col("size") > 0) & (ends <= F.col("budget")))
+    placed = written(placed.withColumn("last_start", F.col("start")), "placed")
     filled = F.coalesce(F.sum(F.when(F.col("more"), F.col("size"))), F.lit(0))
-    gaps = placed.groupBy("key", "last").agg(
-        filled.alias("filled"), (F.first("budget") - filled).alias("gap")
-    )
-    fitting = placed.where(~F.col("more") & (F.col("size") > 0)).join(gaps, ["key", "last"])
-    fitting = fitting.where(F.col("size") <= F.col("gap"))
-    chosen = fitting.groupBy("key", "last").agg(
-        F.max(F.struct("size", "start")).alias("best"), F.first("filled").alias("filled")
-    )
-    out = placed.join(chosen, ["key", "last"], "left")
-    best = ~F.col("more") & (F.struct("size", "start") == F.col("best"))
-    best = F.coalesce(best, F.lit(False))
-    return (
-        out.withColumn("last_start", F.when(best, F.col("filled")).otherwise(F.col("last_start")))
-        .withColumn("more", F.col("more") | best)
-        .drop("best", "filled")
-    )
+    gaps = placed.groupBy(source).agg(filled.alias("filled"), (F.first("budget") - filled).alias("gap"))
+    gaps = written(gaps, "gaps")
+    open_ = ~F.col("more") & (F.col("size") > 0)
+    settled = placed.where(~open_)
+    left = placed.where(open_).withColumnRenamed("start", "own_start")
+    while True:
+        fits = left.join(gaps, source).where(F.col("size") <= F.col("gap"))
+        best = F.max(F.struct("size", "own_start")).alias("best")
+        at = fits.groupBy(source).agg(
+            F.first("filled").alias("filled"), F.first("gap").alias("gap"), F.min("size").alias("least"), best
+        )
+        at = written(at, "round")
+        if at.isEmpty():
+            break
+        met = written(left.join(at, source, "left"), "met")
+        fit = F.coalesce(F.col("size") <= F.col("gap"), F.lit(False))
+        settled = settled.union(met.where(~fit).withColumnRenamed("own_start", "start").select(columns))
+        small = F.col("size") * 2 <= F.col("gap")
+        stretch = running_start(met.where(fit & small), source, ["turn", "doc_id", "size"], "size")
+        stretch = stretch.withColumn("more", ends <= F.col("gap"))
+        large = met.where(fit & ~small).withColumn("start", F.lit(0).cast("long"))
+        alone = (F.col("least") * 2 > F.col("gap")) & (F.struct("size", "own_start") == F.col("best"))
+        tried = written(stretch.unionByName(large.withColumn("more", alone)), "tried")
+        gained = F.coalesce(F.sum(F.when(F.col("more"), F.col("size"))), F.lit(0))
+        gaps = tried.groupBy(source).agg(
+            (F.first("filled") + gained).alias("filled"), (F.first("gap") - gained).alias("gap")
+        )
+        gaps = written(gaps, "gaps")
+        taken = tried.where("more").withColumn("last_start", F.col("filled") + F.col("start"))
+        settled = settled.union(taken.drop("start").withColumnRenamed("own_start", "start").select(columns))
+        left = tried.where(~F.col("more")).drop("filled", "gap", "least", "best", "start")
+    return settled.union(left.withColumnRenamed("own_start", "start").select(columns))
 
 
 def arrange(docs: DataFrame, mixed: DataFrame) -> DataFrame:
