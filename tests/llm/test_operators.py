@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tremorline.llm import (
@@ -393,6 +394,29 @@ def test_transcripts(spark, sf_dir, monkeypatch):
     assert {(r.id, r.line_no): r.state for r in chat.decode(plain, model).collect()} == whole
 
 
+TALK = [
+    "- one\n- two\n\n> said before\n>  and more\n\n\nAnswer: three\n- four",
+    "Yes.\n\nq: a question\n* x\n\n  indented\n\n",
+]
+
+
+def test_turns_are_whole(spark):
+    rows = [(i, t, ("user", "assistant")[t % 2], TALK[t % 2]) for i in range(40) for t in range(4)]
+    conversations = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    lines = chat.as_transcripts(conversations)
+    # With the states known: each row's first line begins a turn.
+    head = F.col("line_no") == F.min("line_no").over(Window.partitionBy("id", "turn"))
+    role = F.when(F.col("role") == "user", 2).otherwise(4)
+    state = (role + F.when(head, 0).otherwise(1)).cast("int")
+    decoded = lines.select("id", "line_no", "line", F.lit(0).cast("long").alias("segment"), state.alias("state"))
+    found = {(r.id, r.turn): r for r in chat.render(decoded).collect()}
+    assert set(found) == {(i, t) for i, t, _, _ in rows}
+    for i, t, role, text in rows:
+        # A marker on a line of its own leaves that line's end.
+        assert found[i, t].role == role and found[i, t].text in (text, "\n" + text)
+        assert found[i, t].rendered == f"<|{role}|>\n{found[i, t].text}\n<|end|>\n"
+
+
 def test_empty_tables(spark):
     docs = frame(spark, [])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -5,15 +5,17 @@ whether the line begins a turn. What is seen of a line is its speaker marker (of
 several spellings, or none), whether a blank line precedes it, whether it is the first
 one, and whether it reads like a short question. Transition and emission
 probabilities are counts over transcripts whose roles are known. The Viterbi path gives
-each line its role, and each run of lines becomes one turn in canonical form.
+each line its role, and each run of lines becomes one turn in canonical form: the
+marker of its first line is taken off, and all else stays, blank lines too.
 
 A transcript is cut into segments of line numbers. Each segment gives the best score
 from any state before it to any state at its end; the chain of these small matrices
 fixes the states at the borders, and then segments are decoded side by side. So the
 lines of one huge transcript are never in one task.
 
-Defined cases: null texts are empty; blank lines are no lines, but are seen by the next
-one; rows without an id make one transcript of their own; repeated rows are repeated
+Defined cases: null texts are empty; blank lines (none but spaces) are no lines, but are
+seen by the next one and stand in a turn's text as empty lines, those before its first
+line apart; rows of blank lines only are not there; rows without an id make one transcript of their own; repeated rows are repeated
 lines; without known roles all states are equally likely; an empty table gives no rows.
 """
 
@@ -62,9 +64,12 @@ def observation(line: Column, after_blank: Column, first: Column) -> Column:
 def transcript_lines(rows: DataFrame, id_column: str, number: Column, text: Column, keep: list[str]) -> DataFrame:
     """Non-blank lines: id, line_no, line, seen and the columns ``keep``. ``number`` orders
     the rows of a transcript; a row may hold many lines."""
-    lines = F.split(F.coalesce(text, F.lit("")), "\n")
+    text = F.coalesce(text, F.lit(""))
+    lines = F.split(text, "\n")
+    end = F.size(F.split(F.rtrim(text, F.lit(" \n")), "\n")) - 1
     each = rows.select(
         F.col(id_column).alias("id"), number.cast("long").alias("number"), *keep,
+        end.alias("end"), (F.size(lines) - 1 - end).alias("rest"),
         F.posexplode(
             F.transform(
                 lines,
@@ -76,9 +81,11 @@ def transcript_lines(rows: DataFrame, id_column: str, number: Column, text: Colu
         ).alias("at", "part"),
     )
     each = each.where(F.trim("part.line") != "")
+    # The blank lines that end a row stay with its last line.
+    line = F.when(F.col("at") == F.col("end"), F.concat("part.line", F.repeat(F.lit("\n"), F.col("rest"))))
     first = (F.col("number") == 0) & (F.col("at") == 0)
     return each.select(
-        "id", (F.col("number") * LINES + F.col("at")).alias("line_no"), F.col("part.line").alias("line"),
+        "id", (F.col("number") * LINES + F.col("at")).alias("line_no"), line.otherwise(F.col("part.line")).alias("line"),
         observation(F.col("part.line"), F.col("part.after_blank"), first).alias("seen"), *keep,
     )
 
@@ -177,15 +184,24 @@ def render(decoded: DataFrame) -> DataFrame:
     earlier = Window.partitionBy("id").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     per = per.select(F.col("id").alias("own"), F.col("segment").alias("of"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
     met = decoded.join(per, F.col("id").eqNullSafe(F.col("own")) & (F.col("segment") == F.col("of")))
-    so_far = Window.partitionBy("id", "segment").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("id", "segment").orderBy("line_no")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    previous = F.lag("line_no").over(order)
     numbered = met.withColumn("turn", F.col("offset") + F.sum(begins).over(so_far) - 1)
-    said = F.regexp_replace("line", _ANY, "")
+    # Lines of one row are as far apart as their numbers; before a row's first line stand
+    # the blank lines that begin the row.
+    same = F.coalesce(F.floor(previous / LINES) == F.floor(F.col("line_no") / LINES), F.lit(False))
+    breaks = F.when(same, F.greatest(F.col("line_no") - previous, F.lit(1)))
+    breaks = breaks.otherwise(F.pmod("line_no", F.lit(LINES)) + 1)
+    numbered = numbered.withColumn("breaks", breaks.cast("int"))
+    goes_on = F.col("state") % 2
+    said = F.when(goes_on == 0, F.regexp_replace("line", _ANY, ""))
+    said = said.otherwise(F.concat(F.repeat(F.lit("\n"), F.col("breaks")), "line"))
+    part = F.struct("line_no", goes_on.alias("goes_on"), said.alias("said"))
     role = F.element_at(F.array(*map(F.lit, ROLES)), (F.floor(F.col("state") / 2) + 1).cast("int"))
     turns = numbered.groupBy("id", "turn").agg(
         F.min(role).alias("role"),
-        F.array_join(
-            F.transform(F.sort_array(F.collect_list(F.struct("line_no", said.alias("said")))), lambda x: x["said"]), "\n"
-        ).alias("text"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(part)), lambda x: x["said"]), "").alias("text"),
     )
     return turns.withColumn("rendered", F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text", F.lit("\n<|end|>\n")))
 
