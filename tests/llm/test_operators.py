@@ -417,6 +417,32 @@ def test_turns_are_whole(spark):
         assert found[i, t].rendered == f"<|{role}|>\n{found[i, t].text}\n<|end|>\n"
 
 
+def test_transcripts_with_nulls(spark):
+    rows = [(i, t, ("user", "assistant")[t % 2], f"text {t} of {i}") for i in range(40) for t in range(4)]
+    odd = [
+        (3, None, "user", "late b"), (3, None, "user", "late a"), (3, None, None, None), (3, None, None, "no role"),
+        (90, None, "user", "only late"), (None, 0, "user", "no id"), (None, None, "user", "neither"),
+        (None, None, None, None), (91, 0, None, "plain"), (92, 0, "user", None),
+    ]
+    schema = "conv_id long, turn long, role string, text string"
+    conversations = spark.createDataFrame(rows + odd, schema)
+    order = chat.in_order(conversations).collect()
+    assert len(order) == len(rows + odd)
+    late = sorted((r.turn, r.role, r.text) for r in order if r.conv_id == 3 and r.turn > 3)
+    assert late == [(4, None, None), (5, None, "no role"), (6, "user", "late a"), (7, "user", "late b")]
+    found = chat.format_conversations(conversations)
+    texts = collections.defaultdict(list)
+    for r in sorted(found.collect(), key=lambda r: r.turn):
+        texts[r.conv_id].append(r.text)
+    assert set(texts) == set(range(40)) | {None, 90, 91, 92}
+    everything = {i: "\n".join(x) for i, x in texts.items()}
+    places = [everything[3].index(x) for x in ("text 3 of 3", "no role", "late a", "late b")]
+    assert places == sorted(places)
+    assert "only late" in everything[90] and everything[None].index("no id") < everything[None].index("neither")
+    assert everything[91] == "plain" and everything[92].strip() == ""
+    assert all(text in everything[i] for i, _, _, text in rows)
+
+
 def test_empty_tables(spark):
     docs = frame(spark, [])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -15,7 +15,8 @@ lines of one huge transcript are never in one task.
 
 Defined cases: null texts are empty; blank lines (none but spaces) are no lines, but are
 seen by the next one and stand in a turn's text as empty lines, those before its first
-line apart; rows of blank lines only are not there; rows without an id make one transcript of their own; repeated rows are repeated
+line apart; rows of blank lines only are not there; rows without a turn come after the numbered
+turns of their transcript, by role and text, each as a turn of its own; rows without an id make one transcript of their own; repeated rows are repeated
 lines; without known roles all states are equally likely; an empty table gives no rows.
 """
 
@@ -26,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremorline.llm.common import remainder, written
+from tremorline.llm.common import remainder, running_start, written
 
 ROLES = ("system", "user", "assistant")
 STATES = 2 * len(ROLES)  # role * 2 + (1 if the line continues a turn)
@@ -206,9 +207,25 @@ def render(decoded: DataFrame) -> DataFrame:
     return turns.withColumn("rendered", F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text", F.lit("\n<|end|>\n")))
 
 
+def in_order(conversations: DataFrame) -> DataFrame:
+    """``conversations`` with a number for every turn: rows without one get those after
+    the last of their transcript, in the order of role and text."""
+    number = F.col("turn").cast("long")
+    known = conversations.where("turn is not null").withColumn("turn", number)
+    last = known.groupBy(F.col("conv_id").alias("own")).agg((F.max("turn") + 1).alias("from"))
+    # Ids as keys that are not null, for the running count.
+    late = conversations.where("turn is null").withColumn("none", F.isnull("conv_id"))
+    late = late.withColumn("key", F.coalesce(F.col("conv_id").cast("string"), F.lit("")))
+    late = running_start(late.withColumn("one", F.lit(1)), ["none", "key"], ["role", "text"], "one")
+    late = late.join(last, F.col("conv_id").eqNullSafe(F.col("own")), "left")
+    late = late.withColumn("turn", F.coalesce("from", F.lit(0)) + F.col("start"))
+    return known.unionByName(late.select(known.columns))
+
+
 def as_transcripts(conversations: DataFrame) -> DataFrame:
     """Lines of plain transcripts of known conversations, with role and turn kept. Four
     ways to mark speakers, one of which names nobody, go by the hash of the id."""
+    conversations = in_order(conversations.select("conv_id", "turn", "role", "text"))
     style = F.pmod(F.xxhash64("conv_id"), F.lit(4))
     named = [
         F.concat(F.initcap("role"), F.lit(": ")),
