@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tremorline.llm import (
     backoff,
     chat,
+    concatenation,
     jaccard,
     language,
     merkle,
@@ -28,6 +29,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_tokenizer_path() -> str:
+    """The public byte-level vocabulary file that the concatenating query tokenizes with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", 20)
 
@@ -70,6 +78,10 @@ def op10_size_aware_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(table(spark, sf_dir, "documents"))
 
 
+def op13_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return concatenation.pack(table(spark, sf_dir, "documents"), byte_tokenizer_path())
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_recurrent_toxicity,
         op9_transcript_roles,
         op10_size_aware_join,
+        op13_concatenate_and_cut,
         pipeline,
     )
 }
