@@ -24,9 +24,12 @@ def _powers(n: int) -> np.ndarray:
     return np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(max(n, 1) - 1, FACTOR, np.uint64))))
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word, in order, and the number of words of each text."""
-    parts = [(t or "").encode().translate(_LOWER) for t in texts]
+def word_hashes(texts: list[str | None], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word, in order, and the number of words of each text. Words are
+    taken in lower case unless ``lower`` is False."""
+    parts = [(t or "").encode() for t in texts]
+    if lower:
+        parts = [p.translate(_LOWER) for p in parts]
     data = np.frombuffer(b" ".join(parts) + b" ", np.uint8)
     space = (data == 32) | ((data >= 9) & (data <= 13))
     begins = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))

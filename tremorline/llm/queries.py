@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tremorline.llm import (
     backoff,
@@ -17,9 +18,10 @@ from tremorline.llm import (
     neighbours,
     packing,
     quality,
+    repeats,
     toxicity,
 )
-from tremorline.llm.common import table
+from tremorline.llm.common import WORD, table, word_list
 
 
 def tokenizer_path() -> str:
@@ -78,6 +80,48 @@ def op10_size_aware_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(table(spark, sf_dir, "documents"))
 
 
+def with_planted_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` in which every tenth text, by the hash of its id, goes round from one word on."""
+    turn = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(turn / 10)
+
+    def around(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        period = 1 + F.floor((n - a) / (3 + g % 8))
+        of = F.transform(
+            F.sequence(F.lit(0), n - 1),
+            lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % period).cast("int")),
+        )
+        return F.array_join(of, " ")
+
+    # The one-element list keeps the words from being split again for each place.
+    changed = F.get(F.transform(F.array(word_list(F.col("text"))), around), F.lit(0))
+    chosen = (turn % 10 == 0) & F.col("text").rlike(WORD)
+    return docs.withColumn("text", F.when(chosen, changed).otherwise(F.col("text")))
+
+
+def op11_suffix_automaton_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = repeats.find_runs(with_planted_repeats(docs))
+    longest = F.sort_array(
+        F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"]))
+    )
+    best = F.get(longest, F.lit(0))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        (-best["col1"]).alias("length"),
+        best["period"].alias("period"),
+        F.floor(-1000 * best["col1"] / best["period"]).alias("exponent_milli"),
+        F.sha2(text, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return concatenation.pack(table(spark, sf_dir, "documents"), byte_tokenizer_path())
 
@@ -101,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_recurrent_toxicity,
         op9_transcript_roles,
         op10_size_aware_join,
+        op11_suffix_automaton_runs,
         op13_concatenate_and_cut,
         pipeline,
     )
@@ -176,7 +221,52 @@ SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reached) AS comp
 FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
+# crc32 of a text, bit by bit: DuckDB has none.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''),
+  lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b:
+  list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda y, z: xor(y >> 1, (y & 1) * 3988292384))))"""
+
+# Equal groups of six words make islands of words that repeat at one distance.
+_RUNS_SQL = rf"""
+WITH h AS (
+  SELECT doc_id, {_CRC32.format(text="CAST(doc_id AS VARCHAR)")} AS h,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), p AS (
+  SELECT *, len(words) AS n, CASE WHEN len(words) > 0 THEN (h // 10) % len(words) END AS a FROM h
+), d AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i:
+    words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END])
+    ELSE words END AS words FROM p
+), g AS (
+  SELECT doc_id, x, array_to_string(words[x + 1:x + 6], ' ') AS gram FROM d, unnest(range(n - 5)) AS t(x)
+), e AS (
+  SELECT a.doc_id, a.x, b.x - a.x AS q FROM g a JOIN g b
+  ON a.doc_id IS NOT DISTINCT FROM b.doc_id AND a.gram = b.gram AND a.x < b.x
+), i AS (
+  SELECT doc_id, q, x, x - row_number() OVER (PARTITION BY doc_id, q ORDER BY x) AS island FROM e
+), c AS (
+  SELECT doc_id, q, min(x) AS s, max(x) + q + 5 AS e FROM i GROUP BY doc_id, q, island
+  HAVING max(x) + q + 6 - min(x) >= greatest(12, 2 * q)
+), r AS (
+  SELECT doc_id, s, e - s + 1 AS l, q FROM c WHERE NOT EXISTS (
+    SELECT 1 FROM c o WHERE o.doc_id IS NOT DISTINCT FROM c.doc_id AND o.q < c.q AND o.s <= c.s AND o.e >= c.e)
+), f AS (
+  SELECT doc_id, count(*) AS n_runs, list([-l, s, q] ORDER BY [-l, s, q])[1] AS best,
+    string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+    list({{'low': s + q, 'high': s + l}}) AS gone FROM r GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, best[2] AS start, -best[1] AS length, best[3] AS period,
+  (-1000 * best[1]) // best[3] AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+  sha256(CASE WHEN gone IS NULL THEN array_to_string(words, ' ') ELSE array_to_string(list_transform(list_filter(range(n),
+    lambda i: len(list_filter(gone, lambda w: i >= w.low AND i < w.high)) = 0), lambda i: words[i + 1]), ' ') END)
+    AS collapsed_sha256
+FROM d LEFT JOIN f ON d.doc_id IS NOT DISTINCT FROM f.doc_id
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_suffix_automaton_runs": _RUNS_SQL,
     "op5_merkle_fingerprints": _MERKLE_SQL,
     "op10_size_aware_join": _JACCARD_SQL,
 }
