@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from tremorline.llm import (
     neighbours,
     packing,
     quality,
+    repair,
     repeats,
     toxicity,
 )
@@ -122,6 +125,70 @@ def op11_suffix_automaton_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_damage(rows: DataFrame) -> DataFrame:
+    """conv_id, turn, role and text of conversations, damaged as the hash of id and turn says."""
+    space = F.lit(" ")
+    key = F.concat_ws(
+        ":", *[F.coalesce(F.col(name).cast("string"), space) for name in ("conv_id", "turn")]
+    )
+    kind = F.crc32(key.cast("binary")) % 20
+    text, role = F.coalesce("text", space), F.coalesce("role", space)
+    rows = rows.withColumn("_kind", kind).where("_kind <> 0")
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("_kind") == 4, "user").otherwise(role).alias("role"),
+        F.when(F.col("_kind") == 1, "")
+        .when(F.col("_kind") == 2, F.translate(text, ".!?", ""))
+        .otherwise(text)
+        .alias("text"),
+        F.explode(F.when(F.col("_kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_copy"),
+    ).drop("_copy")
+
+
+def _digests(turns: DataFrame) -> DataFrame:
+    """conv and repaired_sha256 of the turns' ``role:text``, joined by line breaks. Turns of a
+    conversation go through the hash in order, a batch at a time."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, state = None, None
+        for batch in batches:
+            done = []
+            for conv, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if conv != held:
+                    if state:
+                        done.append((held, state.hexdigest()))
+                    held, state = conv, hashlib.sha256()
+                else:
+                    state.update(b"\n")
+                state.update(line.encode())
+            yield made(done)
+        yield made([(held, state.hexdigest())] if state else [])
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows)) or [()] * 2
+        arrays = [pa.array(column, pa.string()) for column in columns]
+        return pa.RecordBatch.from_arrays(arrays, names=["conv", "repaired_sha256"])
+
+    ordered = turns.repartition("conv").sortWithinPartitions("conv", "position")
+    lines = ordered.select("conv", F.concat_ws(":", "role", "text").alias("line"))
+    return lines.mapInArrow(digest, "conv string, repaired_sha256 string")
+
+
+def op12_interval_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    summary, turns = repair.repair(with_damage(rows))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    every = rows.select("conv_id").distinct().withColumn("conv", repair.key_of(F.col("conv_id")))
+    found = every.join(summary, "conv", "left").join(_digests(turns), "conv", "left")
+    return found.select(
+        "conv_id",
+        *[F.coalesce(F.col(name), F.lit(0)).cast("long").alias(name) for name in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return concatenation.pack(table(spark, sf_dir, "documents"), byte_tokenizer_path())
 
@@ -146,6 +213,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_transcript_roles,
         op10_size_aware_join,
         op11_suffix_automaton_runs,
+        op12_interval_repair,
         op13_concatenate_and_cut,
         pipeline,
     )
