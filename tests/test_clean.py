@@ -8,8 +8,16 @@ import pytest
 from documents import NAMES, document, feature, land
 
 from tremorline import CleanOptions, flat_events, nested_events, string_events, subsecond_events
-from tremorline.operators import add_insert_date, clean, explode_features
-from tremorline.sources import read_landing
+from tremorline.operators import (
+    add_insert_date,
+    clean,
+    clean_counted,
+    event_rows,
+    explode_features,
+    feature_rows,
+    losses,
+)
+from tremorline.sources import read_landing, rejected
 
 ZONE = "America/Los_Angeles"
 
@@ -89,19 +97,60 @@ def test_odd_tokens_spoil_only_their_field(spark, tmp_path):
     [
         {"properties": 5, "geometry": {"coordinates": [1, 2, 3]}},
         {"properties": [1], "geometry": None},
+        {"properties": "z"},
         {"properties": None},
-        {"properties": {"mag": 1}, "geometry": "POINT"},
-        {"properties": {"mag": 1}, "geometry": {"coordinates": "1,2,3"}},
-        {"properties": {"mag": 1}, "geometry": {"coordinates": {"x": 1}}},
+        {},
         None,
+        "x",
+        7,
+        [1, {"properties": {"code": "no"}}],
     ],
 )
-def test_odd_features_leave_their_neighbours_alone(spark, tmp_path, odd):
+def test_damaged_features_are_set_aside_one_by_one(spark, tmp_path, odd):
     good = [feature(code="a", mag=1), feature(code="b", mag=2)]
     plain = cleaned(spark, tmp_path / "plain", document(*good)).collect()
-    mixed = cleaned(spark, tmp_path / "mixed", document(good[0], odd, good[1])).collect()
-    assert [mixed[0], mixed[2]] == plain
-    assert mixed[1].code is None
+    documents = read_landing(spark, land(tmp_path / "mixed", document(good[0], odd, good[1]), document(odd)))
+    assert clean(explode_features(documents)).collect() == plain
+    found = rejected(documents).collect()
+    assert sorted((r.reason, r.position, r.line) for r in found) == [
+        ("damaged feature", 0, None),
+        ("damaged feature", 1, None),
+    ]
+    wide, counters = clean_counted(feature_rows(documents))
+    counts = wide.agg(*counters).first().asDict()
+    assert (counts["documents"], counts["rejected"], counts["damaged"]) == (2, 0, 2)
+    assert event_rows(wide).collect() == plain
+
+
+@pytest.mark.parametrize("geometry", ["POINT", {"coordinates": "1,2,3"}, {"coordinates": {"x": 1}}, 5])
+def test_odd_geometry_spoils_only_itself(spark, tmp_path, geometry):
+    odd = feature(code="b") | {"geometry": geometry}
+    rows = cleaned(spark, tmp_path, document(feature(code="a"), odd, feature(code="c"))).collect()
+    assert [row.code for row in rows] == ["a", "b", "c"]
+    assert [row.geometry.depth for row in rows] == [3.5, None, 3.5]
+
+
+@pytest.mark.parametrize(
+    "options, expected",
+    [
+        (nested_events(), {"mag": 1, "sig": 1, "nst": 1, "updated": 2, "depth": 1}),
+        (string_events(ZONE), {"sig": 1, "updated": 2, "depth": 1}),
+        (subsecond_events(ZONE), {"mag": 1, "sig": 1, "nst": 1, "updated": 2, "depth": 1}),
+    ],
+)
+def test_lost_values_are_counted_by_column(spark, tmp_path, options, expected):
+    line = document(
+        feature(mag="abc", sig="1e400", nst=None, time=0, updated="zz"),
+        feature((1, 2, "x"), mag=None, sig=3, nst="0x1p3", time=None, updated="1e300"),
+        feature((1,), mag="2.5", sig="12.0", tz="", time="1729842930123"),
+        None,
+    )
+    documents = read_landing(spark, land(tmp_path, line, "None"))
+    wide, counters = clean_counted(feature_rows(documents), options)
+    counts = wide.agg(*counters).first().asDict()
+    found = losses(counts)
+    assert found == expected | ({"tz": 1} if options.typing == "typed" else {})
+    assert event_rows(wide).collect() == clean(explode_features(documents), options).collect()
 
 
 def test_flat_and_subsecond_columns(spark, tmp_path):

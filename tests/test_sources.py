@@ -180,7 +180,9 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
 def test_lines_that_are_not_one_document_are_rejected(spark, tmp_path):
     good = document(feature(code="a"))
-    odd = [good + good, good + ", " + good, good + " trailing", f"[{good}]", '"text"', "3"]
+    odd = [good + good, good + ", " + good, good + " trailing", f"[{good}]", '"text"', "3", "null"]
+    # These end the list that the parser is given; what follows must not be lost.
+    odd += [good + "] trailing", f"{good}],[{good}", good + "]", f'{good},{{"_end":"x"}}]', good + ","]
     path = land(tmp_path / "landing", good, *odd, "", "  ")
     documents = read_landing(spark, path)
     assert documents.count() == 1 + len(odd)

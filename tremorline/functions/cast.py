@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# How numbers are spelled, up to what a double holds. Casts alone would take
-# Java's suffixes and hexadecimal forms too, and make infinities of numbers beyond.
-_DIGITS = r"([0-9]{1,200}\.?[0-9]*|\.[0-9]+)"
-_LARGE = r"[0-9]\.?[0-9]*[eE]\+?([12][0-9]{2}|30[0-7])|1(\.[0-6][0-9]*)?[eE]\+?308"
-NUMBER = rf"^\s*[+-]?({_DIGITS}([eE](\+?[0-9]{{1,2}}|-[0-9]+))?|{_LARGE})\s*$"
+# A character that no decimal number has, and the largest double. Casts alone
+# would take Java's suffixes, hexadecimal forms and names of infinities too.
+_FOREIGN = r"[^0-9eE+.\s-]"
+_LARGEST = 1.7976931348623157e308
 
 
 def as_double(token: Column) -> Column:
     """NaN and infinities give NULL: they would win every comparison and spoil every mean."""
-    return F.when(token.cast("string").rlike(NUMBER), token.try_cast("double"))
+    number = token.try_cast("double")
+    return F.when(~token.cast("string").rlike(_FOREIGN) & (F.abs(number) <= _LARGEST), number)
 
 
 def as_bigint(token: Column) -> Column:
     """Whole-number tokens are taken exactly; ``3.0`` and ``1.7e12`` go through double."""
-    number = F.coalesce(token.try_cast("bigint"), token.try_cast("double").try_cast("bigint"))
-    return F.when(token.cast("string").rlike(NUMBER), number)
+    return F.coalesce(token.try_cast("bigint"), as_double(token).try_cast("bigint"))

@@ -2,7 +2,8 @@
 
 Inputs are tokens or numbers. All results are NULL for NULL, unreadable, not-a-number
 and out-of-range input. The local variants store the wall clock of ``zone``, so they
-are meant for a session whose time zone is UTC.
+are meant for a session whose time zone is UTC. ``parsed`` says that the input is a double
+that ``as_double`` has given, which need not be looked at as text again.
 """
 
 from __future__ import annotations
@@ -25,18 +26,19 @@ def _instant(ms: Column) -> Column:
     return F.when(ms.between(FIRST_MS, LAST_MS), F.timestamp_micros(micros))
 
 
-def utc_second(ms: Column) -> Column:
+def utc_second(ms: Column, *, parsed: bool = False) -> Column:
     """UTC second; zero and negative epochs mean "unknown" and give NULL."""
-    ms = as_double(ms)
+    ms = ms if parsed else as_double(ms)
     return F.when(ms > 0, F.date_trunc("second", _instant(ms)))
 
 
-def local_second(ms: Column, zone: str) -> Column:
+def local_second(ms: Column, zone: str, *, parsed: bool = False) -> Column:
     """Wall-clock second in ``zone``; zero and negative epochs are ordinary instants."""
-    return F.from_utc_timestamp(F.date_trunc("second", _instant(as_double(ms))), zone)
+    ms = ms if parsed else as_double(ms)
+    return F.from_utc_timestamp(F.date_trunc("second", _instant(ms)), zone)
 
 
-def local_subsecond(ms: Column, zone: str) -> Column:
+def local_subsecond(ms: Column, zone: str, *, parsed: bool = False) -> Column:
     """Wall clock in ``zone`` with its fraction; only zero means "unknown"."""
-    ms = as_double(ms)
+    ms = ms if parsed else as_double(ms)
     return F.when(ms != 0, F.from_utc_timestamp(_instant(ms), zone))

@@ -2,8 +2,11 @@ from tremorline.operators.clean import (
     CleanOptions,
     add_insert_date,
     clean,
+    clean_counted,
+    event_rows,
     flat_events,
     insert_date,
+    losses,
     nested_events,
     string_events,
     subsecond_events,
@@ -14,7 +17,12 @@ from tremorline.operators.days import (
     count_by_day,
     count_by_day_and_region,
 )
-from tremorline.operators.flatten import explode_features, flat_geometry, nested_geometry
+from tremorline.operators.flatten import (
+    explode_features,
+    feature_rows,
+    flat_geometry,
+    nested_geometry,
+)
 from tremorline.operators.regions import (
     area_and_magnitude,
     average_magnitude_by_region,
@@ -33,13 +41,17 @@ __all__ = [
     "average_daily_count_by_region",
     "average_magnitude_by_region",
     "clean",
+    "clean_counted",
     "count_by_day",
     "count_by_day_and_region",
     "count_by_region",
+    "event_rows",
     "explode_features",
+    "feature_rows",
     "flat_events",
     "flat_geometry",
     "insert_date",
+    "losses",
     "magnitudes_by_region",
     "nested_events",
     "nested_geometry",
