@@ -19,7 +19,8 @@ from tremorline import (
     string_events,
     subsecond_events,
 )
-from tremorline.sources import read_silver
+from tremorline import operators as ops
+from tremorline.sources import read_cells, read_run, read_silver, whole_runs
 from tremorline.sources.silver import SECOND_FORMAT, SUBSECOND_FORMAT
 
 RUN_AT = datetime(2024, 10, 25, 7, 55, 30, 123456, tzinfo=timezone.utc)
@@ -158,6 +159,54 @@ def test_a_run_that_lacks_silver_goes_on(spark, tmp_path):
         ingest(spark, run, table)
 
 
+def unmarked(folder):
+    """Take the mark of an ended write away, and one of its files, as if it had been cut short."""
+    files = sorted(p for p in Path(folder).rglob("*") if p.name.startswith("part-"))
+    files[0].unlink()
+    Path(folder, "_SUCCESS").unlink()
+
+
+@pytest.mark.parametrize("by_day", [False, True])
+@pytest.mark.parametrize("lost", [["table"], ["silver"], ["table", "silver", "report"], ["silver", "report"]])
+def test_a_run_that_was_cut_short_anywhere_goes_on(spark, tmp_path, lost, by_day):
+    run, table = Run(str(tmp_path), RUN_AT), f"{tmp_path}/table"
+    landed = lines(spark, *LINES, document(None, feature(code="d", mag="?"))).repartition(3)
+    first = ingest(spark, run, table, lines=landed, by_day=by_day)
+    assert first == IngestReport(documents=6, rejected=2, damaged=1, lost={"mag": 1})
+    whole = read_table(spark, table).orderBy("code").collect()
+    for part in lost:
+        unmarked(f"{table}/run={run.stamp}" if part == "table" else getattr(run, part))
+    if "table" in lost:
+        assert whole_runs(spark, table) == []
+        assert read_table(spark, table, nested_events().table_schema()).count() == 0
+    if lost == ["table"]:
+        # Silver is whole, so the run counts as ended; its table must still not stay half.
+        assert read_run(spark, table, run.stamp, nested_events().table_schema()) is None
+    assert ingest(spark, run, table, by_day=by_day) == first
+    assert read_table(spark, table).orderBy("code").collect() == whole
+    assert spark.read.json(run.silver).count() == len(whole)
+    assert sorted(r.reason for r in spark.read.json(run.rejected).collect()) == [
+        "damaged feature", "no features", "unreadable"
+    ]
+    with pytest.raises(ValueError, match="already holds"):
+        ingest(spark, run, table, by_day=by_day)
+
+
+def test_cells_equal_the_events_after_every_run(spark, tmp_path):
+    table = f"{tmp_path}/table"
+    for second in range(3):
+        run = Run(str(tmp_path), RUN_AT.replace(second=second))
+        ingest(spark, run, table, lines=lines(spark, *LINES))
+        if second == 1:
+            unmarked(f"{table}/_cells/run={run.stamp}")
+        cells, events = read_cells(spark, table), read_table(spark, table)
+        for question in (ops.count_by_day, ops.count_by_day_and_region, ops.average_daily_count):
+            answer = question(cells)
+            assert sorted(map(tuple, answer.collect()), key=repr) == sorted(map(tuple, question(events).collect()), key=repr)
+    files = [f for f in ops.count_by_day(cells).inputFiles() if "/_cells/" not in f]
+    assert all(f"run={RUN_AT.replace(second=1):%Y%m%d_%H%M%S}/" in f for f in files)
+
+
 def test_session_must_be_utc(spark, tmp_path):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
     try:

@@ -146,7 +146,7 @@ def test_a_run_is_read_back_by_its_partition(spark, table, tmp_path):
     path = f"{tmp_path}/t"
     rows = add_insert_date(table.select(*nested_event_schema().names), datetime(2024, 10, 25))
     for stamp in ("20241025_075530", "20241025_075531"):
-        append_table(rows.withColumn("run", F.lit(stamp)), path, nested_event_schema(), by_run=True)
+        append_table(rows, path, nested_event_schema(), run=stamp)
     stored = read_run(spark, path, "20241025_075530", nested_event_schema())
     # Only that run's folder is listed.
     assert all("/run=20241025_075530/" in file for file in stored.inputFiles())

@@ -156,3 +156,45 @@ def test_answers_are_printed(events, capsys):
     for question in analyse(events):
         assert question in printed
     assert "hot" in printed
+
+
+def test_shown_answers_tell_how_many_rows_there_are(spark, capsys):
+    rows = [(f"r{i:03}", float(i % 7), datetime(2024, 1, 1 + i % 9)) for i in range(300)]
+    events = spark.createDataFrame(rows, "area string, mag double, time timestamp")
+    show_answers(events, 5)
+    printed = capsys.readouterr().out
+    assert "295 more rows" in printed and "r004\t1" in printed and "r005\t1" not in printed
+    show_answers(events)
+    printed = capsys.readouterr().out
+    assert "more rows" not in printed and printed.count("r299") == 4
+    show_answers(events.where("false"), 5)
+
+
+def test_latest_version_of_each_event(spark):
+    schema = "net string, code string, updated timestamp, insert_date timestamp, mag double, geometry struct<depth double>"
+    day = [datetime(2024, 1, d) for d in range(1, 6)]
+    rows = [
+        ("us", "a", day[1], day[1], 1.0, (1.0,)),
+        ("us", "a", day[2], day[0], 2.0, None),
+        ("us", "a", None, day[4], 9.0, (1.0,)),
+        ("ci", "a", day[0], day[0], 3.0, (1.0,)),
+        ("us", "b", None, day[0], 4.0, (1.0,)),
+        ("us", "b", None, day[1], None, (2.0,)),
+        ("us", "c", day[0], day[0], 5.0, (1.0,)),
+        ("us", "c", day[0], day[0], 6.0, (0.0,)),
+        (None, "d", day[0], day[0], 7.0, None),
+        (None, "d", day[0], day[0], 7.0, None),
+        ("us", None, day[0], day[0], 8.0, None),
+        ("us", None, day[0], day[0], 8.0, None),
+    ]
+    events = spark.createDataFrame(rows, schema)
+    latest = ops.latest_events(events)
+    assert latest.columns == events.columns
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan and "Window " not in plan and plan.count("Exchange") == 1
+    found = sorted(((r.net, r.code, r.mag) for r in latest.collect()), key=repr)
+    assert found == sorted(
+        [("us", "a", 2.0), ("ci", "a", 3.0), ("us", "b", None), ("us", "c", 6.0), (None, "d", 7.0),
+         ("us", None, 8.0), ("us", None, 8.0)],
+        key=repr,
+    )

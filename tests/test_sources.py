@@ -11,13 +11,24 @@ from documents import document, feature, land
 from pyspark.sql import functions as F
 
 from tremorline import flat_events, nested_events
-from tremorline.operators import add_insert_date, clean, count_by_day, explode_features
+from tremorline.operators import (
+    add_insert_date,
+    clean,
+    count_by_day,
+    explode_features,
+    strongest_regions,
+)
 from tremorline.schema import flat_event_schema, nested_event_schema
 from tremorline.sources import (
     Run,
+    append_shape,
     append_table,
     conform,
+    conform_losses,
+    latest_day,
+    merged_schema,
     read_landing,
+    read_shapes,
     read_silver,
     read_table,
     rejected,
@@ -102,13 +113,13 @@ def test_append_creates_then_adds(spark, tmp_path):
     assert read_table(spark, f"{tmp_path}/table").schema == nested_event_schema()
 
 
-@pytest.mark.parametrize("by_run, by_day", [(True, False), (False, True), (True, True)])
-def test_layouts_hold_the_same_rows(spark, tmp_path, by_run, by_day):
+@pytest.mark.parametrize("run, by_day", [("20241025_075530", False), (None, True), ("7", True)])
+def test_layouts_hold_the_same_rows(spark, tmp_path, run, by_day):
     features = [feature(code=str(i), time=1729842930123 + i * 40_000_000) for i in range(6)]
     features.append(feature(code="no time", time=None))
     rows = add_insert_date(events(spark, tmp_path / "in", *features), RUN_AT)
     target = f"{tmp_path}/table"
-    append_table(rows, target, nested_event_schema(), by_run=by_run, by_day=by_day)
+    append_table(rows, target, nested_event_schema(), run=run, by_day=by_day)
     table = read_table(spark, target, nested_event_schema())
     names = nested_event_schema().names
     stored = table.select(names).orderBy("code").collect()
@@ -131,7 +142,7 @@ def test_catalog_table(spark, tmp_path):
         spark.sql("DROP DATABASE quakes CASCADE")
 
 
-def test_autodetected_schemas_unite(spark, tmp_path):
+def test_appends_without_a_schema_keep_their_own(spark, tmp_path):
     target = f"{tmp_path}/table"
     append_table(events(spark, tmp_path / "a", feature()), target)
     append_table(events(spark, tmp_path / "b", feature(), options=flat_events()), target)
@@ -140,6 +151,51 @@ def test_autodetected_schemas_unite(spark, tmp_path):
     assert table.where("geometry is null").count() == 1
 
 
+def test_shapes_of_any_types_unite(spark, tmp_path):
+    target = f"{tmp_path}/table"
+    first = spark.createDataFrame([(1, 2.5, "x", datetime(2024, 1, 1), (1, "p"))], "a int, b double, c string, t timestamp, s struct<u int, v string>")
+    second = spark.createDataFrame([(7.0, 2**40, 3, "late", (2.5,))], "a double, b bigint, c bigint, t string, s struct<u double>")
+    third = spark.createDataFrame([(2**60, datetime(2024, 1, 2).date())], "a bigint, d date")
+    for rows in (first, second, third, first):
+        append_shape(rows, target)
+    table = read_shapes(spark, target)
+    assert table.schema.simpleString() == (
+        "struct<a:double,b:double,c:string,t:string,s:struct<u:double,v:string>,d:date>"
+    ) or set(table.schema.simpleString()[7:-1]) == set(
+        "a:double,b:double,c:string,t:string,s:struct<u:double,v:string>,d:date"
+    )
+    assert table.count() == 4
+    assert sorted(r.c for r in table.where("c is not null").collect()) == ["3", "x", "x"]
+    assert sorted(r.s.u for r in table.where("s is not null").collect()) == [1.0, 1.0, 2.5]
+    assert merged_schema([third.schema, first.schema])["a"].dataType.simpleString() == "bigint"
+
+
+def test_latest_day_is_known_from_folders(spark, tmp_path):
+    features = [feature(code=str(i), mag=i, place="N of X", time=1729842930123 + i * 86_400_000) for i in range(9)]
+    features.append(feature(code="no time", time=None))
+    rows = add_insert_date(events(spark, tmp_path / "in", *features), RUN_AT)
+    for run in (None, "1", "2"):
+        target = f"{tmp_path}/table-{'plain' if run is None else 'runs'}"
+        part = rows if run != "2" else rows.where("code = '3'")
+        append_table(part, target, nested_event_schema(), run=run, by_day=True)
+        last = latest_day(spark, target)
+        assert last == datetime(2024, 11, 2).date()
+        table = read_table(spark, target, nested_event_schema())
+        answer = strongest_regions(table, last_day=last)
+        assert answer.collect() == strongest_regions(table).collect()
+        plan = answer._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: []" not in plan
+    assert latest_day(spark, f"{tmp_path}/nothing") is None
+
+
+def test_conform_counts_what_it_loses(spark):
+    frame = spark.createDataFrame([("x", "1.5", "7"), (None, "?", "7.5")], "depth string, mag string, felt string")
+    counts = frame.agg(*conform_losses(frame, flat_event_schema())).first().asDict()
+    assert {k: v for k, v in counts.items()} == {"depth": 1, "mag": 1, "felt": 1} | {
+        k: 0 for k in counts if k not in ("depth", "mag", "felt")
+    }
+
+
 @pytest.mark.parametrize("n, per_document", [(0, 10), (1, 10), (10, 10), (25, 10)])
 def test_documents_are_bounded_and_whole(spark, tmp_path, n, per_document):
     one = json.dumps(feature())

@@ -44,19 +44,25 @@ def test_each_document_once(spark, tmp_path, max_files):
     assert silver.orderBy("code").collect() == stored.drop("insert_date").orderBy("code").collect()
 
 
-def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+@pytest.mark.parametrize("lacking", [[], ["silver"], ["silver", "reports", "rejected"], ["table", "silver"]])
+def test_a_repeated_batch_changes_nothing(spark, tmp_path, lacking):
     root, table = str(tmp_path), f"{tmp_path}/table"
-    land(Path(Run(root, RUN_AT).landing), document(feature(code="a"), feature(code="b")))
-    ingest_new_documents(spark, root, table, f"{root}/checkpoint")
+    land(Path(Run(root, RUN_AT).landing), document(feature(code="a"), None, feature(code="b")), "None")
+    first = ingest_new_documents(spark, root, table, f"{root}/checkpoint")
+    assert first == IngestReport(documents=2, rejected=1, damaged=1)
     before = read_table(spark, table).orderBy("code").collect()
-    # As if the call had ended after its write and before it was noted as done.
-    for sink in ("table", "silver"):
-        for note in Path(root, "checkpoint", sink, "commits").iterdir():
-            if note.name.lstrip(".").startswith("0"):
-                note.unlink()
-    ingest_new_documents(spark, root, table, f"{root}/checkpoint")
+    # As if the call had been cut short somewhere before it was noted as done.
+    for note in Path(root, "checkpoint", "commits").iterdir():
+        if note.name.lstrip(".").startswith("0"):
+            note.unlink()
+    for layer in lacking:
+        for path in Path(root, layer).rglob("*"):
+            if path.name in ("_SUCCESS", "._SUCCESS.crc") or (path.name.startswith("part-") and layer != "table"):
+                path.unlink()
+    assert ingest_new_documents(spark, root, table, f"{root}/checkpoint") == first
     assert read_table(spark, table).orderBy("code").collect() == before
     assert codes(spark.read.json(f"{root}/silver/stream")) == ["a", "b"]
+    assert spark.read.json(f"{root}/rejected/stream").count() == 2
 
 
 def test_rejects_are_set_aside_once(spark, tmp_path):

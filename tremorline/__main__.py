@@ -20,6 +20,7 @@ from tremorline import (
     subsecond_events,
     write_answers,
 )
+from tremorline.sources import latest_day, read_cells, whole_runs
 from tremorline.sources.paths import STAMP
 
 SHAPES = ["nested", "flat", "string", "subsecond"]
@@ -67,10 +68,13 @@ def main(arguments: list[str] | None = None) -> None:
     )
     if given.command == "analyse":
         table = read_table(spark, given.table, catalog=given.catalog, format=given.format)
+        known = {"last_day": latest_day(spark, given.table, catalog=given.catalog, format=given.format)}
+        if not given.catalog and whole_runs(spark, given.table):
+            known["cells"] = read_cells(spark, given.table, format=given.format)
         if given.output:
-            write_answers(table, given.output)
+            write_answers(table, given.output, **known)
         else:
-            show_answers(table, given.rows)
+            show_answers(table, given.rows, **known)
     elif given.command == "ingest":
         run = Run(given.root, datetime.strptime(given.run, STAMP).replace(tzinfo=timezone.utc))
         report = ingest(

@@ -32,6 +32,7 @@ from tremorline.operators.regions import (
     strongest_regions,
     top_regions,
 )
+from tremorline.operators.versions import latest_events
 
 __all__ = [
     "CleanOptions",
@@ -51,6 +52,7 @@ __all__ = [
     "flat_events",
     "flat_geometry",
     "insert_date",
+    "latest_events",
     "losses",
     "magnitudes_by_region",
     "nested_events",

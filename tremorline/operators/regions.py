@@ -8,7 +8,7 @@ events is reduced before the shuffle and never gathered.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,21 +41,28 @@ def average_magnitude_by_region(events: DataFrame) -> DataFrame:
 
 
 def strongest_regions(
-    events: DataFrame, as_of: datetime | None = None, days: int = 7
+    events: DataFrame, as_of: datetime | None = None, days: int = 7, *, last_day: date | None = None
 ) -> DataFrame:
     """Region and magnitude of the strongest event in the last ``days`` x 24 hours.
 
     ``as_of`` closes the period (inclusive; a naive value is UTC) and defaults to the
     latest event. All regions that share the highest magnitude are returned.
+
+    Of a table laid out by day, ``last_day`` says which its last one is (``latest_day`` knows
+    it from the folders). Then only that day is looked through for the latest event; without
+    it, the names of all files' days are.
     """
     by_day = DAY in events.columns
     if as_of is None:
         if by_day:
             # The latest event is on the table's last day, known without reading rows.
-            last_day = events.agg(F.max(DAY)).scalar()
-            events = events.where(F.col(DAY) >= F.date_sub(last_day, days))
+            last = events.agg(F.max(DAY)).scalar() if last_day is None else F.lit(last_day)
+            ends = events.where(F.col(DAY) >= last)
+            events = events.where(F.col(DAY) >= F.date_sub(last, days))
+        else:
+            ends = events
         start = F.max("time") - F.make_dt_interval(F.lit(days))
-        recent = events.where(F.col("time") > events.agg(start).scalar())
+        recent = events.where(F.col("time") > ends.agg(start).scalar())
     else:
         end = as_of if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc)
         first, last = F.lit(end - timedelta(days=days)), F.lit(end)

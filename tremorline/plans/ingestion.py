@@ -2,31 +2,34 @@
 
 from __future__ import annotations
 
+import json
 import logging
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, field
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import types as T
 
 from tremorline.operators import (
     CleanOptions,
     add_insert_date,
-    clean,
-    explode_features,
+    clean_counted,
+    event_rows,
+    feature_rows,
+    losses,
 )
-from tremorline.schema import INSERTED, RUN
+from tremorline.schema import INSERTED, feed_schema
 from tremorline.sources import (
     Run,
     append_table,
     read_landing,
     read_run,
     rejected,
+    write_cells,
     write_landing,
     write_silver,
 )
-from tremorline.sources.files import names_in
-from tremorline.sources.landing import is_rejected
+from tremorline.sources.files import is_whole
 from tremorline.sources.paths import require_utc
 from tremorline.sources.silver import SECOND_FORMAT, SUBSECOND_FORMAT
 
@@ -35,16 +38,43 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class IngestReport:
+    """What was read and what was not kept: whole documents, single features, and, by
+    column, values whose token could not be read."""
+
     documents: int
     rejected: int
+    damaged: int = 0
+    lost: dict[str, int] = field(default_factory=dict)
+
+
+class Counted:
+    """The event rows of documents, and a report on them that is observed in the pass
+    that writes these rows."""
+
+    def __init__(self, documents: DataFrame, options: CleanOptions, *keep: str) -> None:
+        self._wide, self._counters = clean_counted(feature_rows(documents, *keep), options, keep)
+        self._observation = Observation()
+        self.events = event_rows(self._wide.observe(self._observation, *self._counters))
+
+    def report(self) -> IngestReport:
+        """The report, after the rows were written; before that, by a pass of its own."""
+        try:
+            counts = self._observation.get
+        except Py4JJavaError as error:
+            if "AssertionError" not in str(error.java_exception):
+                raise
+            # When no row gets through, a plan with a shuffle is cut off above it at run
+            # time, and what was observed goes with it. Count once more.
+            return self.recount()
+        return _report(counts)
 
+    def recount(self) -> IngestReport:
+        return _report(self._wide.agg(*self._counters).first().asDict())
 
-def document_counts() -> list[Column]:
-    """Aggregates that an ingestion observes over the documents it reads."""
-    return [
-        F.count(F.lit(1)).alias("documents"),
-        F.count_if(is_rejected()).alias("rejected"),
-    ]
+
+def _report(counts: dict[str, int]) -> IngestReport:
+    plain = {name: counts[name] for name in ("documents", "rejected", "damaged")}
+    return IngestReport(**plain, lost=losses(counts))
 
 
 def ingest(
@@ -61,67 +91,66 @@ def ingest(
 ) -> IngestReport:
     """One run: land ``lines`` if given, then clean what is landed into both sinks.
 
-    With ``by_run`` the table is appended first, the run's rows in a partition of their
-    own, and silver is written from that partition. So documents are parsed once,
-    nothing is cached, and a lost executor costs no second parse of what is already
-    written. A run that both sinks hold already is refused, so that repeating one cannot
-    double its rows; one that ended between its sinks goes on where it stopped, if called
-    again without ``lines``. Without
-    ``by_run``, as for a ``format`` that has no partitions, each sink parses the documents.
-
-    Documents without ``features`` are counted and written to ``run.rejected``; the
-    others go on.
+    With ``by_run`` the table is appended first, the run's rows in a folder of their own,
+    and silver is written from that folder. So documents are parsed once, nothing is
+    cached, and a lost executor costs no second parse of what is already written. Each folder of the
+    run counts only when its write has ended. A run that ended early, wherever that was,
+    goes on where it stopped when called again without ``lines``: what is whole is kept
+    and what is not is written anew. Silver comes last; a run that has it is refused, so that repeating
+    one cannot double its rows. Without ``by_run``, as for a ``format`` that has no partitions, each
+    sink parses the documents.
+
+    Documents without ``features`` and damaged features are counted and written to
+    ``run.rejected``; the others go on. The report is kept in ``run.report``, and the run's
+    cells by day and region beside a path table.
     """
-    fraction = options.time_mode == "local_subsecond"
     require_utc(spark)
+    if by_run:
+        held = f"{table} already holds run {run.stamp}; drop its partition to repeat it"
+        schema = options.table_schema()
+        # The rows' own schema is the same whatever the documents hold.
+        stored = read_run(spark, table, run.stamp, schema or _own_schema(spark, options), catalog=catalog, format=format)
+        if stored is not None and (lines is not None or is_whole(spark, run.silver)):
+            raise ValueError(held)
     if lines is not None:
-        write_landing(lines, run.landing)
+        write_landing(lines, run.landing, "errorifexists" if is_whole(spark, run.landing) else "overwrite")
 
     documents = read_landing(spark, run.landing)
-    observation = Observation()
-    observed = documents.select("features").observe(observation, *document_counts())
-    events = add_insert_date(clean(explode_features(observed), options), run.at, options)
-    schema = options.table_schema() or events.schema
-
-    def this_run() -> DataFrame | None:
-        return read_run(spark, table, run.stamp, schema, catalog=catalog, format=format)
-
-    stored = this_run() if by_run else None
-    done = lines is not None or "_SUCCESS" in names_in(spark, run.silver)
-    if stored is not None and done:
-        raise ValueError(f"{table} already holds run {run.stamp}; drop its partition to repeat it")
-    if stored is None:
+    counted = Counted(documents, options)
+    events = add_insert_date(counted.events, run.at, options)
+    if not by_run:
+        append_table(events, table, options.table_schema(), catalog=catalog, format=format, by_day=by_day)
+        report = counted.report()
+        stored = events
+    elif stored is None:
         append_table(
-            events.withColumn(RUN, F.lit(run.stamp)) if by_run else events,
-            table,
-            options.table_schema(),
-            catalog=catalog,
-            format=format,
-            by_run=by_run,
-            by_day=by_day,
+            events, table, schema, catalog=catalog, format=format, run=run.stamp, by_day=by_day
         )
-        report = _report(observation, documents)
-        stored = this_run() if by_run else clean(explode_features(documents), options)
+        report = counted.report()
+        stored = read_run(spark, table, run.stamp, events.schema, catalog=catalog, format=format)
+    elif is_whole(spark, run.report):
+        report = IngestReport(**json.loads(spark.read.text(run.report).first().value))
     else:
-        report = IngestReport(**documents.agg(*document_counts()).first().asDict())
-    if stored is None:
-        stored = spark.createDataFrame([], schema)
-    silver_format = SUBSECOND_FORMAT if fraction else SECOND_FORMAT
-    write_silver(stored.drop(INSERTED), run.silver, silver_format, mode="overwrite")
+        report = counted.recount()
+    text = spark.createDataFrame([(json.dumps(asdict(report)),)], "value string").coalesce(1)
+    text.write.mode("overwrite").text(run.report)
+    if by_run and not catalog:
+        write_cells(stored, table, run.stamp)
 
-    if report.rejected:
+    if report.rejected or report.damaged:
         rejected(documents).write.mode("overwrite").json(run.rejected)
-        log.warning("run %s: %d documents rejected", run.stamp, report.rejected)
+        log.warning(
+            "run %s: %d documents and %d features rejected", run.stamp, report.rejected, report.damaged
+        )
+    write_silver(stored.drop(INSERTED), run.silver, silver_format(options), mode="overwrite")
     log.info("run %s: %d documents ingested", run.stamp, report.documents - report.rejected)
     return report
 
 
-def _report(observation: Observation, documents: DataFrame) -> IngestReport:
-    try:
-        return IngestReport(**observation.get)
-    except Py4JJavaError as error:
-        if "AssertionError" not in str(error.java_exception):
-            raise
-        # When no row gets through, a plan with a shuffle is cut off above it at run
-        # time, and what was observed goes with it. Count once more.
-        return IngestReport(**documents.agg(*document_counts()).first().asDict())
+def silver_format(options: CleanOptions) -> str:
+    return SUBSECOND_FORMAT if options.time_mode == "local_subsecond" else SECOND_FORMAT
+
+
+def _own_schema(spark: SparkSession, options: CleanOptions) -> T.StructType:
+    documents = spark.createDataFrame([], T.StructType([feed_schema()["features"]]))
+    return add_insert_date(Counted(documents, options).events, None, options).schema

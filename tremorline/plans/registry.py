@@ -10,7 +10,7 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tremorline import operators as ops
@@ -22,20 +22,30 @@ from tremorline.functions import (
     local_subsecond,
     utc_second,
 )
+from tremorline.plans.analysis import QUESTIONS, write_answers
 from tremorline.plans.ingestion import ingest
 from tremorline.schema import PROPERTIES, flat_event_schema, nested_event_schema
 from tremorline.sources import (
     Run,
+    append_shape,
     append_table,
+    conform_losses,
+    latest_day,
+    read_cells,
     read_landing,
+    read_shapes,
     read_silver,
     read_table,
     rejected,
-    united,
     write_landing,
 )
-from tremorline.sources.derived_feed import feed_rows, loosely_typed, to_documents, to_features
-from tremorline.sources.landing import is_rejected
+from tremorline.sources.derived_feed import (
+    feed_rows,
+    loosely_typed,
+    oddly_spelled,
+    to_documents,
+    to_features,
+)
 from tremorline.sources.paths import scratch_dir
 from tremorline.streaming import ingest_new_documents
 
@@ -92,11 +102,15 @@ def _loose_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.explode_features(read_landing(spark, _once(spark, sf_dir, "loose", make)))
 
 
-def _table_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _by_day_path(spark: SparkSession, sf_dir: str) -> str:
     def make(path: str) -> None:
         append_table(_table(spark, sf_dir), path, nested_event_schema(), by_day=True)
 
-    return read_table(spark, _once(spark, sf_dir, "by-day", make), nested_event_schema())
+    return _once(spark, sf_dir, "by-day", make)
+
+
+def _table_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _by_day_path(spark, sf_dir), nested_event_schema())
 
 
 # --- columns as they are compared --------------------------------------------------
@@ -153,37 +167,133 @@ def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.count_by_region(read_table(spark, target, nested_event_schema()))
 
 
+def _loosely_typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows for a table with a schema: numbers and times as text, in another order, some
+    unreadable, and no coordinates."""
+    broken = F.col("code").try_cast("bigint")
+    times = {n: F.date_format(utc_second(F.col(n)), "yyyy-MM-dd HH:mm:ss") for n in ("time", "updated")}
+    spoilt = {"mag": 13, "sig": 17, "time": 19}
+    features = _features(spark, sf_dir).withColumns(times)
+    features = features.withColumns(
+        {n: F.when(broken % every == 0, "unread").otherwise(F.col(n)) for n, every in spoilt.items()}
+    )
+    return features.select(*[name for name, _ in reversed(PROPERTIES)])
+
+
 def typed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Schema enforcement: type of each column, and how many values survived it."""
+    """Schema enforcement: every row as the table has it, and the table's schema."""
     target = scratch_dir(spark, "typed")
-    # Raw tokens where the schema has numbers, no geometry, columns in another order.
-    rows = _features(spark, sf_dir).select(
-        *[name for name, ddl in reversed(PROPERTIES) if ddl != "timestamp"]
-    )
-    append_table(rows, target, flat_event_schema())
+    append_table(_loosely_typed_rows(spark, sf_dir), target, flat_event_schema())
     table = read_table(spark, target)
-    return table.agg(
-        *[F.count(name).alias(f"n_{name}") for name in table.columns],
-        F.lit(table.schema.simpleString()).alias("schema"),
-    )
+    return _plain(table).withColumn("schema", F.lit(table.schema.simpleString()))
+
+
+def typed_table_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values that schema enforcement could not keep, by column, counted in the pass
+    that appends the rows."""
+    rows, schema, observation = _loosely_typed_rows(spark, sf_dir), flat_event_schema(), Observation()
+    counted = rows.observe(observation, *conform_losses(rows, schema))
+    append_table(counted, scratch_dir(spark, "typed-losses"), schema)
+    return spark.createDataFrame(sorted(observation.get.items()), "column string, lost bigint")
 
 
 def autodetect_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two tables with schemas of their own, read as one."""
+    """Appends of two shapes with schemas of their own to one table, read as one: each of the
+    31 columns in the narrowest type that holds both."""
     target = scratch_dir(spark, "autodetect")
     features = _features(spark, sf_dir)
-    append_table(ops.clean(features, ops.flat_events()), target)
-    append_table(ops.clean(features, ops.string_events(ZONE)), f"{target}-text")
-    # The string shape spells some columns with another type; those are united as text.
-    table = united([read_table(spark, target), read_table(spark, f"{target}-text")])
-    return table.groupBy("area").agg(
+    append_shape(ops.clean(features, ops.flat_events()), target)
+    append_shape(ops.clean(features, ops.string_events(ZONE)), target)
+    return _comparable(_plain(read_shapes(spark, target)))
+
+
+def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run reports of a feed with odd tokens, failed fetches and damaged features."""
+
+    def make(path: str) -> None:
+        good = to_documents(to_features(oddly_spelled(feed_rows(spark, sf_dir))))
+        write_landing(good.union(_failed(spark, sf_dir)).union(_damaged(spark, sf_dir)), path)
+
+    lines = spark.read.text(_once(spark, sf_dir, "odd", make))
+    root = scratch_dir(spark, "report")
+    report = ingest(spark, Run(root, RUN_AT), f"{root}/table", lines=lines)
+    counts = {n: getattr(report, n) for n in ("documents", "rejected", "damaged")} | report.lost
+    rows = [(name, n) for name, n in counts.items() if name != "documents"]
+    return spark.createDataFrame(rows, "measure string, n bigint")
+
+
+def resumed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that was cut short in the middle of its table write, with some of its rows in place
+    and no silver, and is called again: rows per region in either sink."""
+    root = scratch_dir(spark, "resumed")
+    run = Run(root, RUN_AT)
+    write_landing(_documents(spark, sf_dir), run.landing)
+    events = ops.add_insert_date(ops.clean(_features(spark, sf_dir)), RUN_AT)
+    half = events.where(F.col("code").try_cast("bigint") % 2 == 0)
+    leaves_no_mark = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
+    half.write.options(**leaves_no_mark).parquet(f"{root}/table/run={run.stamp}")
+    ingest(spark, run, f"{root}/table")
+    silver = read_silver(spark, run.silver, events.drop("insert_date").schema)
+    table = read_table(spark, f"{root}/table", nested_event_schema())
+    return ops.count_by_region(silver).withColumn("sink", F.lit("silver")).unionByName(
+        ops.count_by_region(table).withColumn("sink", F.lit("table"))
+    )
+
+
+def one_table_all_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the three typed shapes in one table, read as one."""
+    root = scratch_dir(spark, "all-shapes")
+    landed = spark.read.text(_run(spark, sf_dir).landing)
+    shapes = [ops.nested_events(), ops.flat_events(), ops.subsecond_events(ZONE)]
+    for second, options in enumerate(shapes):
+        ingest(spark, Run(root, RUN_AT.replace(second=second)), f"{root}/table", options, lines=landed)
+    table = read_table(spark, f"{root}/table", merge_schema=True)
+    return table.groupBy("code", "area").agg(
         F.count(F.lit(1)).alias("n"),
-        F.count("mag").alias("n_mag"),
-        F.count_if(F.col("mng") == "None").alias("n_mng_missing"),
-        F.count("mng").alias("n_mng"),
+        F.max("geometry.depth").alias("nested_depth"),
+        F.max("depth").alias("flat_depth"),
+        F.date_format(F.min("time"), "yyyy-MM-dd HH:mm:ss.SSS").alias("first_time"),
     )
 
 
+def latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest version of each event in a table of two runs that overlap: the second brings
+    every third event again, updated an hour later, with another magnitude."""
+
+    def make(root: str) -> None:
+        rows = feed_rows(spark, sf_dir)
+        again = rows.where("event_id % 3 = 0").withColumns(
+            {"updated": F.col("updated") + 3_600_000, "mag": F.col("mag") + 1}
+        )
+        for minute, part in enumerate((rows, again)):
+            run = Run(root, RUN_AT.replace(minute=minute))
+            ingest(spark, run, f"{root}/table", lines=to_documents(to_features(part)))
+
+    root = _once(spark, sf_dir, "overlap", make)
+    table = read_table(spark, f"{root}/table", nested_event_schema())
+    return _plain(ops.latest_events(table).drop("insert_date"))
+
+
+def answers_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All answers in full, as they are written to files."""
+    folder = scratch_dir(spark, "answers")
+    run = _run(spark, sf_dir)
+    write_answers(_table(spark, sf_dir), folder, cells=read_cells(spark, f"{run.root}/table"))
+    out = None
+    for name in QUESTIONS:
+        answer = spark.read.parquet(f"{folder}/{name}")
+        value = next((c for c in ("avg_mag", "avg_n", "max_mag", "mag") if c in answer.columns), None)
+        rows = answer.select(
+            F.lit(name).alias("question"),
+            (F.col("day").cast("string") if "day" in answer.columns else F.lit(None).cast("string")).alias("day"),
+            (F.col("area") if "area" in answer.columns else F.lit(None).cast("string")).alias("area"),
+            (F.col("n") if "n" in answer.columns else F.lit(None).cast("bigint")).alias("n"),
+            (F.round(value, DECIMALS) if value else F.lit(None).cast("double")).alias("value"),
+        )
+        out = rows if out is None else out.union(rows)
+    return out
+
+
 def mixed_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One table with appends of the nested and the flat shape, read as one."""
     target = scratch_dir(spark, "mixed-shapes")
@@ -215,23 +325,42 @@ def two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both[0].unionByName(both[1])
 
 
+def _failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are no document, or more than one: failed fetches, objects without features,
+    and documents with something after them, some of which end the list that a parser
+    might put around the line."""
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    empty = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.to_json(F.struct("s_suppkey")))
+    one = '{"features":[{"properties":{"code":"lost"}}]}'
+    tails = ["] t", f"],[{one}", f",{one}", " t", ","]
+    odd = F.get(F.array(*[F.lit(one + tail) for tail in tails]), (F.col("c_custkey") % len(tails)).cast("int"))
+    return customers.select(F.lit("None")).union(customers.select(odd)).union(empty)
+
+
+def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of one good feature each, and one that is none."""
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    bad = ["null", '"x"', '{"properties":null}', '{"properties":"z"}', "[1]", "7"]
+    good = F.concat(F.lit('{"properties":{"code":"p'), F.col("p_partkey").cast("string"), F.lit('"}}'))
+    odd = F.get(F.array(*[F.lit(text) for text in bad]), (F.col("p_partkey") % len(bad)).cast("int"))
+    return parts.select(F.concat(F.lit('{"features":['), odd, F.lit(","), good, F.lit("]}")))
+
+
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Failed fetches and feature-less documents among good ones: set aside, not fatal."""
+    """Failed fetches, lines of more than one document, documents without features and damaged
+    features among good ones: set aside, not fatal."""
 
     def make(path: str) -> None:
-        failed = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.lit("None"))
-        empty = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
-            F.to_json(F.struct("s_suppkey"))
-        )
-        write_landing(_documents(spark, sf_dir).union(failed).union(empty), path)
+        lines = _documents(spark, sf_dir).union(_failed(spark, sf_dir))
+        write_landing(lines.union(_damaged(spark, sf_dir)), path)
 
     documents = read_landing(spark, _once(spark, sf_dir, "mixed", make))
-    accepted = ops.explode_features(documents.where(~is_rejected()))
+    accepted = ops.explode_features(documents)
     return (
         rejected(documents)
-        .select("reason", "line")
-        .unionByName(accepted.select(F.lit("accepted").alias("reason"), F.lit(None).alias("line")))
-        .groupBy("reason", "line")
+        .select("reason", "line", "position")
+        .unionByName(accepted.select(F.lit("accepted").alias("reason")), allowMissingColumns=True)
+        .groupBy("reason", "line", "position")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -264,16 +393,31 @@ def flatten_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _features(spark, sf_dir).select("code", *ops.flat_geometry(F.col("coordinates")))
 
 
-def lenient_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = _loose_features(spark, sf_dir).select(
-        "code",
-        as_double(F.col("mag")).alias("mag"),
-        utc_second(F.col("time")).alias("time"),
-        utc_second(F.col("updated")).alias("updated"),
-        as_bigint(F.col("sig")).alias("sig"),
-        as_bigint(F.col("nst")).alias("nst"),
+def _lenient(features: DataFrame) -> DataFrame:
+    return _plain(
+        features.select(
+            "code",
+            as_double(F.col("mag")).alias("mag"),
+            utc_second(F.col("time")).alias("time"),
+            utc_second(F.col("updated")).alias("updated"),
+            as_bigint(F.col("sig")).alias("sig"),
+            as_bigint(F.col("nst")).alias("nst"),
+        )
     )
-    return _plain(features)
+
+
+def lenient_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lenient(_loose_features(spark, sf_dir))
+
+
+def odd_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens with suffixes, in hexadecimal, not a number, infinite or too large give NULL."""
+
+    def make(path: str) -> None:
+        write_landing(to_documents(to_features(oddly_spelled(feed_rows(spark, sf_dir)))), path)
+
+    landed = _once(spark, sf_dir, "odd-numbers", make)
+    return _lenient(ops.explode_features(read_landing(spark, landed)))
 
 
 def _times(convert: Callable[[Column], Column], show: Callable[[str], Column]) -> Query:
@@ -304,15 +448,20 @@ def clean_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(ops.clean(_features(spark, sf_dir), ops.flat_events()))
 
 
-def clean_string(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text columns that spell floats are compared as numbers: engines spell them unlike."""
-    events = _plain(ops.clean(_features(spark, sf_dir), ops.string_events(ZONE)))
-    floats = ["mng", "cdi", "mmi", "dmin", "rms", "gap"]
+def _comparable(events: DataFrame) -> DataFrame:
+    """Text that spells floats as numbers, as engines spell them unlike, and whether it is the
+    text None in a column of its own."""
+    floats = [n for n in ("mng", "cdi", "mmi", "dmin", "rms", "gap") if n in events.columns]
     return events.withColumns(
-        {name: F.nullif(F.col(name), F.lit("None")).cast("double") for name in floats}
+        {f"{name}_none": F.col(name) == "None" for name in floats}
+        | {name: F.nullif(F.col(name), F.lit("None")).cast("double") for name in floats}
     )
 
 
+def clean_string(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _comparable(_plain(ops.clean(_features(spark, sf_dir), ops.string_events(ZONE))))
+
+
 def insert_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = _features(spark, sf_dir).select("code")
     options = [ops.nested_events(), ops.string_events(ZONE), ops.subsecond_events(ZONE)]
@@ -377,13 +526,39 @@ def avg_daily_count_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answer.withColumn("avg_n", F.round("avg_n", DECIMALS))
 
 
+def _from_cells(question: Query) -> Query:
+    """A question about days from the cells of three runs: each half of the feed, and all of it
+    once more in a run that lacks its cells, as if it had ended before writing them."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        def make(root: str) -> None:
+            rows = feed_rows(spark, sf_dir)
+            for minute in (0, 1):
+                part = to_documents(to_features(rows.where(f"event_id % 2 = {minute}")))
+                ingest(spark, Run(root, RUN_AT.replace(minute=minute)), f"{root}/table", lines=part)
+            run = Run(root, RUN_AT.replace(minute=2))
+            part = to_documents(to_features(rows))
+            events = ops.clean(ops.explode_features(_landed(spark, part, run)))
+            append_table(ops.add_insert_date(events, RUN_AT), f"{root}/table", nested_event_schema(), run=run.stamp)
+
+        return question(read_cells(spark, f"{_once(spark, sf_dir, 'cells', make)}/table"))
+
+    return query
+
+
+def _landed(spark: SparkSession, lines: DataFrame, run: Run) -> DataFrame:
+    write_landing(lines, run.landing)
+    return read_landing(spark, run.landing)
+
+
 def strongest_region_last_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.strongest_regions(_table(spark, sf_dir))
 
 
 def strongest_region_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same from a table laid out by day."""
-    return ops.strongest_regions(_table_by_day(spark, sf_dir))
+    """The same from a table laid out by day, whose last day its folders tell."""
+    table = _table_by_day(spark, sf_dir)
+    return ops.strongest_regions(table, last_day=latest_day(spark, _by_day_path(spark, sf_dir)))
 
 
 def strongest_region_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,7 +592,13 @@ _QUERIES: dict[str, Query] = {
     "silver_roundtrip": silver_roundtrip,
     "append_twice": append_twice,
     "typed_table": typed_table,
+    "typed_table_losses": typed_table_losses,
     "autodetect_append": autodetect_append,
+    "ingest_report": ingest_report,
+    "resumed_ingest": resumed_ingest,
+    "one_table_all_shapes": one_table_all_shapes,
+    "latest_events": latest_events,
+    "answers_written": answers_written,
     "mixed_shapes": mixed_shapes,
     "table_source": table_source,
     "two_sinks": two_sinks,
@@ -425,6 +606,7 @@ _QUERIES: dict[str, Query] = {
     "flatten_nested": flatten_nested,
     "flatten_flat": flatten_flat,
     "lenient_numbers": lenient_numbers,
+    "odd_numbers": odd_numbers,
     "time_utc": _times(utc_second, _second),
     "time_local": _times(lambda ms: local_second(ms, ZONE), _second),
     "time_local_subsecond": _times(lambda ms: local_subsecond(ms, ZONE), _milli),
@@ -442,6 +624,14 @@ _QUERIES: dict[str, Query] = {
     "count_by_day": count_by_day,
     "count_by_day_partitioned": count_by_day_partitioned,
     "count_by_day_region": count_by_day_region,
+    "count_by_day_from_cells": _from_cells(lambda cells: _daily(ops.count_by_day(cells))),
+    "count_by_day_region_from_cells": _from_cells(lambda c: _daily(ops.count_by_day_and_region(c))),
+    "avg_daily_count_from_cells": _from_cells(
+        lambda c: ops.average_daily_count(c).withColumn("avg_n", F.round("avg_n", DECIMALS))
+    ),
+    "avg_daily_count_by_region_from_cells": _from_cells(
+        lambda c: ops.average_daily_count_by_region(c).withColumn("avg_n", F.round("avg_n", DECIMALS))
+    ),
     "avg_daily_count": avg_daily_count,
     "avg_daily_count_by_region": avg_daily_count_by_region,
     "strongest_region_last_week": strongest_region_last_week,

@@ -15,6 +15,7 @@ STAMP = "%Y%m%d_%H%M%S"
 LANDING = "landing"
 SILVER = "silver"
 REJECTED = "rejected"
+REPORTS = "reports"
 
 
 @dataclass(frozen=True)
@@ -41,6 +42,10 @@ class Run:
     def rejected(self) -> str:
         return self._folder(REJECTED)
 
+    @property
+    def report(self) -> str:
+        return self._folder(REPORTS)
+
     def _folder(self, layer: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{self.stamp}"
 

@@ -23,4 +23,6 @@ def read_silver(
     schema: T.StructType,
     timestamp_format: str = SECOND_FORMAT,
 ) -> DataFrame:
-    return spark.read.schema(schema).option("timestampFormat", timestamp_format).json(path)
+    rows = spark.read.schema(schema).option("timestampFormat", timestamp_format).json(path)
+    # The batches of a stream lie in folders, whose number is not part of a row.
+    return rows.select(schema.names)

@@ -1,22 +1,26 @@
 """Incremental ingestion: each call cleans the documents landed since the last one.
 
 The same flatten and clean steps as a batch run, over the landing folders of all
-runs. All sinks are streaming file sinks, so a call that is cut short and repeated
-neither loses nor doubles rows. Such a table belongs to its stream: batch runs must
-not append to it, and readers must read its root folder.
+runs. Each micro-batch is a run of the table, under its number: table, cells, rejects and silver are
+written in one go, and a batch that is repeated after it was cut short replaces what it had
+written. So nothing is lost or doubled. Such a table belongs to its stream: its runs are
+numbers of batches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tremorline.operators import CleanOptions, add_insert_date, clean, explode_features
-from tremorline.plans.ingestion import IngestReport, document_counts
+from tremorline.operators import CleanOptions, add_insert_date
+from tremorline.plans.ingestion import Counted, IngestReport, silver_format
 from tremorline.schema import INSERTED
-from tremorline.sources.landing import rejected, stream_landing
+from tremorline.sources import append_table, has_run, read_run, rejected, write_cells, write_silver
+from tremorline.sources.landing import parse_lines, stream_lines
 from tremorline.sources.paths import LANDING, REJECTED, SILVER, require_utc
-from tremorline.sources.silver import SECOND_FORMAT, SUBSECOND_FORMAT
-from tremorline.sources.table import conform
+
+# The time of the micro-batch, which a repeated batch keeps.
+_AT = "_at"
 
 
 def ingest_new_documents(
@@ -28,62 +32,57 @@ def ingest_new_documents(
     *,
     max_files: int | None = None,
 ) -> IngestReport:
-    """Clean new documents under ``root`` into the table, then new table rows into silver.
+    """Clean new documents under ``root`` into the table and into silver.
 
     ``checkpoint`` is a folder of this stream's own; keep it between calls. ``max_files``
-    bounds the landed files of one micro-batch. Rejected documents are set aside by a
-    stream of their own, which counts all documents of every micro-batch it runs.
+    bounds the landed files of one micro-batch. Each new document is parsed once; those of a
+    batch with rejects once more, to set these aside. The report is on the batches
+    that this call has ended.
     """
     require_utc(spark)
-    documents = stream_landing(spark, f"{root}/{LANDING}/*", max_files)
-    # The insert date is the time of the micro-batch, which a repeated batch keeps.
-    events = add_insert_date(clean(explode_features(documents), options), None, options)
-    if options.table_schema() is not None:
-        events = conform(events, options.table_schema())
-    _run_to_end(events, "parquet", table, f"{checkpoint}/table")
-
-    rows = spark.readStream.schema(events.schema).parquet(table).drop(INSERTED)
-    fraction = options.time_mode == "local_subsecond"
-    silver = {
-        "ignoreNullFields": "false",
-        "timestampFormat": SUBSECOND_FORMAT if fraction else SECOND_FORMAT,
-    }
-    _run_to_end(rows, "json", f"{root}/{SILVER}/stream", f"{checkpoint}/silver", **silver)
-    return _set_aside(documents, f"{root}/{REJECTED}/stream", f"{checkpoint}/rejected")
-
-
-def _set_aside(documents: DataFrame, path: str, checkpoint: str) -> IngestReport:
-    """Write rejected documents and count all of them, batch by batch. A batch that is
-    repeated replaces what it wrote, and counts for the call that ends it."""
-    counts: dict[int, dict[str, int]] = {}
+    reports: dict[int, IngestReport] = {}
 
     def write(batch: DataFrame, number: int) -> None:
-        observation = Observation()
-        seen = batch.observe(observation, *document_counts())
-        rejected(seen).write.mode("overwrite").json(f"{path}/batch={number}")
-        counts[number] = observation.get
+        reports[number] = _ingest_batch(batch, number, root, table, options)
 
+    lines = stream_lines(spark, f"{root}/{LANDING}/*", max_files)
     query = (
-        documents.writeStream.foreachBatch(write)
+        lines.withColumn(_AT, F.current_timestamp())
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    lost: dict[str, int] = {}
+    for report in reports.values():
+        for name, n in report.lost.items():
+            lost[name] = lost.get(name, 0) + n
     return IngestReport(
-        documents=sum(c["documents"] for c in counts.values()),
-        rejected=sum(c["rejected"] for c in counts.values()),
+        documents=sum(r.documents for r in reports.values()),
+        rejected=sum(r.rejected for r in reports.values()),
+        damaged=sum(r.damaged for r in reports.values()),
+        lost=lost,
     )
 
 
-def _run_to_end(
-    rows: DataFrame, format: str, path: str, checkpoint: str, **settings: str
-) -> None:
-    query = (
-        rows.writeStream.format(format)
-        .options(**settings)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
-    query.awaitTermination()
+def _ingest_batch(
+    batch: DataFrame, number: int, root: str, table: str, options: CleanOptions
+) -> IngestReport:
+    spark, name = batch.sparkSession, f"{number:09d}"
+    documents = parse_lines(batch)
+    counted = Counted(documents, options, _AT)
+    events = add_insert_date(counted.events, F.col(_AT), options).drop(_AT)
+    if has_run(spark, table, name):
+        # The batch was cut short after its table was whole.
+        report = counted.recount()
+    else:
+        append_table(events, table, options.table_schema(), run=name)
+        report = counted.report()
+    stored = read_run(spark, table, name, options.table_schema() or events.schema)
+    write_cells(stored, table, name)
+    if report.rejected or report.damaged:
+        rejected(documents).write.mode("overwrite").json(f"{root}/{REJECTED}/stream/batch={name}")
+    silver = f"{root}/{SILVER}/stream/batch={name}"
+    write_silver(stored.drop(INSERTED), silver, silver_format(options), mode="overwrite")
+    return report
