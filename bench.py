@@ -15,12 +15,13 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from tremorline import Run, ingest, read_table
 from tremorline import operators as ops
 from tremorline.plans.analysis import QUESTIONS
 from tremorline.schema import nested_event_schema
-from tremorline.sources import append_table, read_landing, write_landing
+from tremorline.sources import append_table, latest_day, read_cells, read_landing, write_landing
 from tremorline.sources.derived_feed import feed_rows, to_documents, to_features
 from tremorline.sources.paths import scratch_dir
 
@@ -64,8 +65,21 @@ def main() -> None:
         events = ops.clean(ops.explode_features(read_landing(spark, landed.landing)))
         events.write.format("noop").mode("overwrite").save()
 
+    # One line in fifty more that is no document.
+    spoilt = f"{root}/spoilt"
+    failed = spark.range(max(1, documents.count() // 50)).select(F.lit("None").alias("value"))
+    write_landing(documents.union(failed.coalesce(1)), spoilt)
+
+    def run_with_rejects() -> None:
+        run = Run(scratch_dir(spark, "bench-run"), landed.at)
+        ingest(spark, run, f"{run.root}/table", lines=spark.read.text(spoilt))
+
     # The clean step first: it warms the compiler up for the whole run.
-    figures = {"clean": timed(clean_only), "ingest": timed(whole_run)}
+    figures = {
+        "clean": timed(clean_only),
+        "ingest": timed(whole_run),
+        "ingest_with_rejects": timed(run_with_rejects),
+    }
 
     ingest(spark, landed, f"{root}/table")
     table = read_table(spark, f"{root}/table", nested_event_schema())
@@ -76,8 +90,12 @@ def main() -> None:
     figures["mags_by_region"] = timed(
         lambda: ops.magnitudes_by_region(table).write.format("noop").mode("overwrite").save()
     )
-    for name in ("count_by_day", "strongest_region_last_week"):
-        figures[f"{name}_partitioned"] = timed(lambda: QUESTIONS[name](by_day).collect())
+    figures["count_by_day_partitioned"] = timed(lambda: QUESTIONS["count_by_day"](by_day).collect())
+    figures["strongest_region_last_week_partitioned"] = timed(
+        lambda: ops.strongest_regions(by_day, last_day=latest_day(spark, f"{root}/by-day")).collect()
+    )
+    cells = read_cells(spark, f"{root}/table")
+    figures["count_by_day_from_cells"] = timed(lambda: ops.count_by_day(cells).collect())
 
     print(
         json.dumps(

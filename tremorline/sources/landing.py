@@ -100,7 +100,9 @@ def rejected(documents: DataFrame) -> DataFrame:
 
     A damaged feature does not reject its document: the others go on.
     """
-    documents = documents.withColumn("none", is_rejected())
+    damaged = F.exists("features", lambda feature: feature["properties"].isNull())
+    # Sound documents need not be taken apart.
+    documents = documents.withColumn("none", is_rejected()).where(F.col("none") | damaged)
     rows = documents.select(FILE, CORRUPT, "none", F.posexplode_outer("features").alias("position", "feature"))
     reason = (
         F.when(F.col(CORRUPT).isNotNull(), "unreadable")
