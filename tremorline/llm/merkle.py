@@ -33,6 +33,10 @@ SECTION_DIGITS, PARAGRAPH_DIGITS, PIECE_DIGITS = 16, 12, 8
 _PIECE = rf"(?:[^ ]{{1,{LONG_WORD}}}+ *+){{1,{WORDS}}}+| ++"
 
 
+# Stands for a null id, below all others.
+_ID, _NO_ID = "decimal(20,0)", str(-(1 << 63) - 1)
+
+
 def _sha(children: Column) -> Column:
     return F.sha2(F.concat_ws("", children), 256)
 
@@ -107,33 +111,44 @@ def changed_branches(a: Column, b: Column) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text and next_text: the text of the document after it in the order of ids.
+    """doc_id, text, n_chars, and of the document after it in the order of ids
+    next_fingerprint and next_part: as many of its first characters as half of the text has.
 
-    Only ids and hashes are put in order. Texts move twice, by hash: to meet their place
-    in the order, and to meet the document before them.
+    Only ids, hashes and lengths are put in order. A text moves once, to meet what the next
+    document sends to it: its fingerprint and the part that is asked for.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rid = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    keyed = docs.select("doc_id", text.alias("text"), rid.alias("rid"))
-    keyed = keyed.withColumn("key", F.xxhash64("text", F.isnull("doc_id")))
-
-    ids = keyed.groupBy("rid", "key").agg(F.lit(1).alias("one")).withColumn("all", F.lit(0))
-    order = written(running_start(ids, ["all"], ["rid", "key"], "one").select("rid", "key", "start"), "order")
-    n = order.count()
-    after = order.select(
-        F.col("rid").alias("next_rid"), F.col("key").alias("next_key"),
-        ((F.col("start") + (n - 1)) % F.lit(max(n, 1))).alias("start"),
-    )
-    links = order.join(after, "start").drop("start")
+    # Null ids come first. Nothing but these three columns is dealt out, for both sides.
+    rid = F.coalesce(F.col("doc_id").cast(_ID), F.lit(_NO_ID).cast(_ID))
+    keyed = docs.select(rid.alias("rid"), text.alias("text")).withColumn("key", F.xxhash64("text"))
 
-    # The first of repeated rows is the one that has none before it.
-    repeated = Window.partitionBy("rid", "key").orderBy("rid")
-    one_each = keyed.withColumn("before", F.lag("rid").over(repeated)).where("before is null")
-    one_each = one_each.select(
-        F.col("rid").alias("next_rid"), F.col("key").alias("next_key"), F.col("text").alias("next_text")
+    ids = keyed.groupBy("rid", "key").agg(
+        F.max(F.length("text")).alias("n_chars"), F.count(F.lit(1)).alias("copies"), F.lit(1).alias("one")
+    )
+    ids = ids.withColumn("all", F.lit(0))
+    order = written(running_start(ids, ["all"], ["rid", "key"], "one").drop("one", "all"), "order")
+    n, repeated = order.agg(F.count(F.lit(1)), F.max("copies")).first()
+    asked = order.select(
+        ((F.col("start") + 1) % F.lit(max(n, 1))).alias("start"),
+        F.col("rid").alias("to_rid"), F.col("key").alias("to_key"),
+        F.floor(F.col("n_chars") / 2).cast("int").alias("half"),
+    )
+    asked = written(order.select("start", "rid", "key", "copies").join(asked, "start").drop("start"), "asked")
+
+    def sent(asked: DataFrame) -> DataFrame:
+        rows = keyed.join(asked, ["rid", "key"])
+        rows = rows.select("to_rid", "to_key", F.left("text", F.col("half")).alias("next_part"), "text")
+        return with_fingerprint(rows, "text", "next_fingerprint").drop("text")
+
+    parts = sent(asked.where("copies = 1")) if (repeated or 0) > 1 else sent(asked)
+    if (repeated or 0) > 1:
+        # Rows that repeat an id and a text send the same to the same document.
+        parts = parts.union(sent(asked.where("copies > 1")).dropDuplicates(["to_rid", "to_key"]))
+    parts = parts.withColumnsRenamed({"to_rid": "rid", "to_key": "key"})
+    doc_id = F.when(F.col("rid") != F.lit(_NO_ID).cast(_ID), F.col("rid").cast("long"))
+    return keyed.join(parts, ["rid", "key"]).select(
+        doc_id.alias("doc_id"), "text", F.length("text").cast("long").alias("n_chars"), "next_part", "next_fingerprint"
     )
-    linked = keyed.join(links, ["rid", "key"]).drop("rid", "key")
-    return linked.join(one_each, ["next_rid", "next_key"]).drop("next_rid", "next_key")
 
 
 def compare_with_edits(docs: DataFrame) -> DataFrame:
@@ -142,18 +157,12 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
     The edited text has the second half (rounded down) of the text's characters replaced
     by as many of the next document's first ones.
     """
-    rows = with_next(docs).withColumn("n_chars", F.length("text").cast("long"))
-    half = F.floor(F.col("n_chars") / 2).cast("int")
-    rows = rows.withColumn(
-        "edited",
-        F.concat(
-            F.left(F.col("text"), (F.col("n_chars") - half).cast("int")), F.left(F.col("next_text"), half)
-        ),
-    )
+    rows = with_next(docs)
+    kept = (F.col("n_chars") - F.floor(F.col("n_chars") / 2)).cast("int")
+    rows = rows.withColumn("edited", F.concat(F.left(F.col("text"), kept), "next_part"))
     rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
     rows = with_fingerprint(rows, "text", "fingerprint")
     rows = with_fingerprint(rows, "edited", "edited_fingerprint")
-    rows = with_fingerprint(rows, "next_text", "next_fingerprint")
     return rows.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
