@@ -17,11 +17,9 @@ kinds every score is 0; repeated rows are scored each.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -170,11 +168,18 @@ def windows_of(counts: np.ndarray, codes: np.ndarray, padding: int) -> tuple[np.
 
 
 def _encoded(texts: list[str | None]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-    lists = [split_words(t) for t in texts]
-    flat = np.empty(sum(map(len, lists)), object)
-    flat[:] = [w for own in lists for w in own]
-    codes, distinct = pd.factorize(flat)
-    return np.array([len(own) for own in lists], np.int64), list(distinct), codes
+    """How many words each text has, the distinct words, and the words as numbers of these.
+    Only one text's words are held as objects at a time."""
+    index: dict[bytes, int] = {}
+    codes = [np.array([index.setdefault(w, len(index)) for w in split_words(t)], np.int32) for t in texts]
+    counts = np.array([len(own) for own in codes], np.int64)
+    return counts, list(index), np.concatenate(codes) if codes else np.empty(0, np.int32)
+
+
+def _all_inputs(network: Network, words: list[bytes], step: int = 20_000) -> np.ndarray:
+    """``inputs`` of many words, with the trigrams of ``step`` of them at a time."""
+    parts = [network.inputs(words[i : i + step])[0][:-1] for i in range(0, len(words), step)]
+    return np.vstack([*parts, np.zeros((1, INPUT), np.float32)])
 
 
 def document_logits(network: Network, texts: list[str | None]) -> np.ndarray:
@@ -189,9 +194,9 @@ def document_logits(network: Network, texts: list[str | None]) -> np.ndarray:
     return out
 
 
-def _vocabulary(lists: list[list[bytes]]) -> list[bytes]:
-    seen = Counter(w for own in lists for w in set(own))
-    often = [(-n, w) for w, n in seen.items() if n >= LEAST_DOCUMENTS]
+def _vocabulary(distinct: list[bytes], documents: np.ndarray) -> list[bytes]:
+    """The words that most documents have, of the number of documents each word is in."""
+    often = [(-int(documents[i]), distinct[i]) for i in np.flatnonzero(documents >= LEAST_DOCUMENTS)]
     return [w for _, w in sorted(often)[:VOCABULARY]]
 
 
@@ -199,25 +204,27 @@ def train(texts: list[str], labels: list[int], share: float, seed: int = 5) -> N
     """A network for documents with labels; ``share`` is that of label 1 in the corpus."""
     if len(set(labels)) < 2:
         return None
-    lists = [split_words(t) for t in texts]
     y = np.array(labels, np.float64)
-    network = Network(_vocabulary(lists))
     counts, distinct, codes = _encoded(texts)
     windows, of = windows_of(counts, codes, len(distinct))
+    windows = windows.astype(np.int32)
 
     # The first choice of windows: words that only toxic documents have stand out.
     seen = np.unique(np.repeat(np.arange(len(texts)), counts) * (len(distinct) + 1) + codes)
     doc, word = seen // (len(distinct) + 1), seen % (len(distinct) + 1)
+    network = Network(_vocabulary(distinct, np.bincount(word, minlength=len(distinct))))
     toxic = np.bincount(word, y[doc], len(distinct)) + 0.5
     clean = np.bincount(word, 1 - y[doc], len(distinct)) + 0.5
     odds = np.append(np.log(toxic / clean * ((1 - y).sum() + 1) / (y.sum() + 1)), 0)
-    scores = np.maximum(odds[windows], 0).sum(axis=1)
+    scores = np.concatenate(
+        [np.maximum(odds[windows[i : i + BLOCK]], 0).sum(axis=1) for i in range(0, len(windows), BLOCK)] or [odds[:0]]
+    )
 
     draw, adam = np.random.default_rng(seed), Adam(network.p, RATE, 1e-6)
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     for turn in range(ROUNDS):
         if turn:
-            x, _ = network.inputs(distinct)
+            x = _all_inputs(network, distinct)
             scores = np.concatenate(
                 [network.forward(x, windows[i : i + BLOCK]) for i in range(0, len(windows), BLOCK)]
             )
