@@ -1,15 +1,18 @@
 """Toxicity scores by a bidirectional gated recurrent network with attention pooling.
 
 The network reads overlapping windows of ``WINDOW`` words. A word's input is the
-embedding of the word, if the vocabulary has it, and the mean embedding of the character
-trigrams it is spelled with. Two gated recurrent layers read the window in both
+embedding of the word, if the vocabulary has it, the mean embedding of the character
+trigrams it is spelled with, and a learned direction times the word's lift: the logarithm of how
+much more often than by chance the word is in toxic documents, shrunk to 0 for rare words. Two gated recurrent layers read the window in both
 directions, attention pools their states, and a logistic function scores the window. A
 document's score is that of its most toxic window, and all windows of the whole text
 are scored.
 
 Only documents have labels. So training alternates: all windows of the sample are
 scored, and the network learns on each document's highest windows, as its label says. It is
-trained in numpy on at most ``2 * SAMPLE`` labelled documents (the documented bound).
+trained in numpy on at most ``2 * SAMPLE`` labelled documents (the documented bound). For
+training the lifts come from other folds of the sample than the document's own, and the
+embeddings of some words are left out, so that words of single documents are no evidence.
 
 Defined cases: a text that is null or has no word has score 0; without labels of both
 kinds every score is 0; repeated rows are scored each.
@@ -34,6 +37,8 @@ INPUT, HIDDEN, ATTENTION = 12, 8, 8
 VOCABULARY, LEAST_DOCUMENTS, TRIGRAMS = 20_000, 3, 8192
 ROUNDS, PASSES, RATE = 10, 2, 0.01
 BLOCK = 2048
+#: Folds that lifts come from, documents that shrink them, share of words left out in training.
+FOLDS, SHRINK, LEFT_OUT = 4, 2.0, 0.3
 THRESHOLD = 0.3
 # Letters stay, what else ASCII has separates words.
 _TABLE = bytes(i if i >= 128 or chr(i).isalnum() else 32 for i in range(256))
@@ -62,10 +67,12 @@ class Network:
             return (draw.standard_normal(shape) / np.sqrt(shape[0])).astype(np.float32)
 
         self.index = {w: i + 1 for i, w in enumerate(vocabulary)}
+        self.lifts = np.zeros(len(vocabulary) + 1, np.float32)
         self.bias_shift = 0.0
         self.p = {
             "words": (0.1 * draw.standard_normal((len(vocabulary) + 1, INPUT))).astype(np.float32),
             "chars": (0.3 * draw.standard_normal((TRIGRAMS, INPUT))).astype(np.float32),
+            "lift": layer(INPUT, 1)[:, 0],
             "attend": layer(2 * HIDDEN, ATTENTION), "attend_v": layer(ATTENTION, 1)[:, 0],
             "out": layer(2 * HIDDEN, 1)[:, 0], "out_b": np.full(1, -1.0, np.float32),
         }
@@ -75,13 +82,19 @@ class Network:
                 f"rec_{side}": layer(HIDDEN, 3 * HIDDEN),
             }
 
-    def inputs(self, words: list[bytes]) -> tuple[np.ndarray, tuple]:
-        """Input vectors of distinct words, a row of zeros (for padding) last."""
+    def inputs(
+        self, words: list[bytes], lifts: np.ndarray | None = None, left_out: np.ndarray | None = None
+    ) -> tuple[np.ndarray, tuple]:
+        """Input vectors of words, a row of zeros (for padding) last. ``lifts`` stand in for the
+        vocabulary's; the embeddings of words that are ``left_out`` are not used."""
         known = np.array([self.index.get(w, 0) for w in words], np.int64)
+        lifts = self.lifts[known] if lifts is None else lifts
+        if left_out is not None:
+            known = np.where(left_out, 0, known)
         bucket, counts = trigrams(words)
         spelled = np.add.reduceat(self.p["chars"][bucket], np.cumsum(counts) - counts) / counts[:, None]
-        x = self.p["words"][known] * (known > 0)[:, None] + spelled
-        return np.vstack((x, np.zeros((1, INPUT)))).astype(np.float32), (known, bucket, counts)
+        x = self.p["words"][known] * (known > 0)[:, None] + spelled + lifts[:, None] * self.p["lift"]
+        return np.vstack((x, np.zeros((1, INPUT)))).astype(np.float32), (known, bucket, counts, lifts)
 
     def _read(self, side: str, given: np.ndarray, windows: np.ndarray, real: np.ndarray, keep: list | None) -> np.ndarray:
         """States of one direction, (window, place, HIDDEN); ``given``: inputs already
@@ -148,7 +161,8 @@ class Network:
                 dh = dh * z + db @ rec.T
             g[f"in_{side}"], g[f"in_b_{side}"] = x.T @ dgiven, dgiven.sum(axis=0)
             dx += dgiven @ win.T
-        known, bucket, counts = made
+        known, bucket, counts, lifts = made
+        g["lift"] = lifts @ dx[:-1]
         g["words"], g["chars"] = np.zeros_like(p["words"]), np.zeros_like(p["chars"])
         np.add.at(g["words"], known, dx[:-1] * (known > 0)[:, None])
         np.add.at(g["chars"], bucket, np.repeat(dx[:-1] / counts[:, None], counts, axis=0))
@@ -176,9 +190,9 @@ def _encoded(texts: list[str | None]) -> tuple[np.ndarray, list[bytes], np.ndarr
     return counts, list(index), np.concatenate(codes) if codes else np.empty(0, np.int32)
 
 
-def _all_inputs(network: Network, words: list[bytes], step: int = 20_000) -> np.ndarray:
+def _all_inputs(network: Network, words: list[bytes], lifts: np.ndarray, step: int = 20_000) -> np.ndarray:
     """``inputs`` of many words, with the trigrams of ``step`` of them at a time."""
-    parts = [network.inputs(words[i : i + step])[0][:-1] for i in range(0, len(words), step)]
+    parts = [network.inputs(words[i : i + step], lifts[i : i + step])[0][:-1] for i in range(0, len(words), step)]
     return np.vstack([*parts, np.zeros((1, INPUT), np.float32)])
 
 
@@ -200,6 +214,12 @@ def _vocabulary(distinct: list[bytes], documents: np.ndarray) -> list[bytes]:
     return [w for _, w in sorted(often)[:VOCABULARY]]
 
 
+def _lifts(toxic: np.ndarray, clean: np.ndarray, share: float) -> np.ndarray:
+    """How much more often than by chance words are in toxic documents (a logarithm), of the
+    documents of both kinds that they are in and the share of toxic ones."""
+    return np.log((toxic + SHRINK) / ((toxic + clean) * share + SHRINK))
+
+
 def train(texts: list[str], labels: list[int], share: float, seed: int = 5) -> Network | None:
     """A network for documents with labels; ``share`` is that of label 1 in the corpus."""
     if len(set(labels)) < 2:
@@ -209,25 +229,41 @@ def train(texts: list[str], labels: list[int], share: float, seed: int = 5) -> N
     windows, of = windows_of(counts, codes, len(distinct))
     windows = windows.astype(np.int32)
 
-    # The first choice of windows: words that only toxic documents have stand out.
+    # The documents that each word is in, by fold and label.
     seen = np.unique(np.repeat(np.arange(len(texts)), counts) * (len(distinct) + 1) + codes)
     doc, word = seen // (len(distinct) + 1), seen % (len(distinct) + 1)
-    network = Network(_vocabulary(distinct, np.bincount(word, minlength=len(distinct))))
-    toxic = np.bincount(word, y[doc], len(distinct)) + 0.5
-    clean = np.bincount(word, 1 - y[doc], len(distinct)) + 0.5
-    odds = np.append(np.log(toxic / clean * ((1 - y).sum() + 1) / (y.sum() + 1)), 0)
-    scores = np.concatenate(
-        [np.maximum(odds[windows[i : i + BLOCK]], 0).sum(axis=1) for i in range(0, len(windows), BLOCK)] or [odds[:0]]
+    fold = np.zeros(len(texts), np.int64)
+    for label in (0, 1):
+        fold[y == label] = np.arange((y == label).sum()) % FOLDS
+    toxic, clean = (
+        np.stack([np.bincount(word, own[doc] * (fold[doc] == k), len(distinct)) for k in range(FOLDS)])
+        for own in (y, 1 - y)
     )
+    del seen, doc, word
+    network = Network(_vocabulary(distinct, (toxic + clean).sum(axis=0)))
+    known = np.array([network.index.get(w, 0) for w in distinct], np.int64)
+    network.lifts[known] = _lifts(toxic.sum(axis=0), clean.sum(axis=0), y.mean())
+    network.lifts[0] = 0
+    apart = [
+        _lifts(toxic.sum(axis=0) - toxic[k], clean.sum(axis=0) - clean[k], y.mean()) * (known > 0) for k in range(FOLDS)
+    ]
+    apart = np.stack(apart).astype(np.float32)
+
+    # The first choice of windows: words that only toxic documents have stand out.
+    scores = np.empty(len(windows))
+    for k in range(FOLDS):
+        own, odds = np.flatnonzero(fold[of] == k), np.append(np.maximum(apart[k], 0), 0)
+        for i in range(0, len(own), BLOCK):
+            scores[own[i : i + BLOCK]] = odds[windows[own[i : i + BLOCK]]].sum(axis=1)
 
     draw, adam = np.random.default_rng(seed), Adam(network.p, RATE, 1e-6)
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    width = len(distinct) + 1
     for turn in range(ROUNDS):
-        if turn:
-            x = _all_inputs(network, distinct)
-            scores = np.concatenate(
-                [network.forward(x, windows[i : i + BLOCK]) for i in range(0, len(windows), BLOCK)]
-            )
+        for k in range(FOLDS) if turn else ():
+            own, x = np.flatnonzero(fold[of] == k), _all_inputs(network, distinct, apart[k])
+            for i in range(0, len(own), BLOCK):
+                scores[own[i : i + BLOCK]] = network.forward(x, windows[own[i : i + BLOCK]])
         order = np.lexsort((-scores, of))
         rank = np.arange(len(order)) - np.searchsorted(of[order], of[order])
         # Of a toxic document its highest window, of a clean one the two highest and others.
@@ -237,12 +273,13 @@ def train(texts: list[str], labels: list[int], share: float, seed: int = 5) -> N
             step = min(256, max(16, len(chosen) // 24))
             for i in range(0, len(chosen), step):
                 part = chosen[i : i + step]
-                used, local = np.unique(windows[part], return_inverse=True)
-                words = [distinct[u] for u in used if u < len(distinct)]
-                if len(words) == len(used):
-                    used = np.append(used, len(distinct))
-                x, made = network.inputs(words)
                 own = of[part]
+                # One word has an input for each fold; padding comes last.
+                pairs = np.where(windows[part] < len(distinct), fold[own][:, None] * width + windows[part], FOLDS * width)
+                used, local = np.unique(pairs, return_inverse=True)
+                used = used[used < FOLDS * width]
+                lifts = apart[used // width, used % width]
+                x, made = network.inputs([distinct[u] for u in used % width], lifts, draw.random(len(used)) < LEFT_OUT)
                 adam(network.gradients(x, made, local.reshape(len(part), -1), y[own], weight[own]))
     # The sample holds the classes in other shares than the corpus.
     even = min(max(share, 1e-4), 1 - 1e-4)
