@@ -31,8 +31,9 @@ from tremorline.llm.common import remainder, running_start, written
 
 ROLES = ("system", "user", "assistant")
 STATES = 2 * len(ROLES)  # role * 2 + (1 if the line continues a turn)
-#: Line numbers: this many for each turn at most, and turns in a segment.
-LINES, TURNS = 1 << 20, 256
+#: Line numbers: as many for each turn as an array can have elements, so turns never mix; and
+#: turns in a segment.
+LINES, TURNS = 1 << 31, 256
 # Words that name a role in speaker markers.
 NAMES = {
     "system": "system|instruction|instructions|context",
@@ -52,6 +53,11 @@ def _marker(role: str) -> str:
 _ANY = _OPEN + "|".join(NAMES.values()) + _CLOSE + "|" + _DASH
 
 
+def _floor(number: Column, by: int) -> Column:
+    """``number`` divided by ``by`` and rounded down, in whole numbers."""
+    return ((number - F.pmod(number, F.lit(by))) / F.lit(by)).cast("long")
+
+
 def observation(line: Column, after_blank: Column, first: Column) -> Column:
     """What is seen of a line, as a number below ``OBSERVATIONS``."""
     mark = F.lit(0)
@@ -97,7 +103,7 @@ def fit(lines: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     role = F.array_position(F.array(*map(F.lit, ROLES)), F.col("role")) - 1
     order = Window.partitionBy("id", "segment").orderBy("line_no")
     known = lines.where(F.col("role").isin(*ROLES)).withColumn(
-        "segment", F.floor(F.col("line_no") / (LINES * TURNS))
+        "segment", _floor(F.col("line_no"), LINES * TURNS)
     )
     same = F.coalesce(F.lag("turn").over(order) == F.col("turn"), F.lit(False))
     known = known.withColumn("state", (role * 2 + same.cast("int")).cast("int"))
@@ -135,7 +141,7 @@ def decode(lines: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray]) -
     start[:STATES, :STATES], start[STATES, :STATES] = moves, first  # the last state: before it all
     emit = np.vstack((shown, np.full((1, OBSERVATIONS), -np.inf)))
     apart = np.where(np.eye(STATES + 1, dtype=bool), 0.0, -np.inf)
-    rows = lines.withColumn("segment", F.floor(F.col("line_no") / (LINES * TURNS)))
+    rows = lines.withColumn("segment", _floor(F.col("line_no"), LINES * TURNS))
 
     def across(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("line_no", kind="stable")
@@ -191,7 +197,7 @@ def render(decoded: DataFrame) -> DataFrame:
     numbered = met.withColumn("turn", F.col("offset") + F.sum(begins).over(so_far) - 1)
     # Lines of one row are as far apart as their numbers; before a row's first line stand
     # the blank lines that begin the row.
-    same = F.coalesce(F.floor(previous / LINES) == F.floor(F.col("line_no") / LINES), F.lit(False))
+    same = F.coalesce(_floor(previous, LINES) == _floor(F.col("line_no"), LINES), F.lit(False))
     breaks = F.when(same, F.greatest(F.col("line_no") - previous, F.lit(1)))
     breaks = breaks.otherwise(F.pmod("line_no", F.lit(LINES)) + 1)
     numbered = numbered.withColumn("breaks", breaks.cast("int"))
