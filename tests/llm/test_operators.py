@@ -250,6 +250,17 @@ def test_mix_goes_on_after_a_long_document(spark):
         assert len({p for r in own for p in r.positions}) == sum(r.passes for r in own)
 
 
+def test_arrange_with_clashing_columns(spark):
+    docs = frame(spark, ["a b c", "d e", "f g h i", None]).withColumns(
+        {"positions": F.lit("own"), "position": F.lit("old"), "size": F.lit("s")}
+    )
+    mixed = mixing.mix(docs)
+    arranged = mixing.arrange(docs, mixed).collect()
+    want = collections.Counter((r.doc_id, p) for r in mixed.collect() for p in r.positions)
+    assert collections.Counter((r.doc_id, r.position) for r in arranged) == want
+    assert {(r.positions, r.size) for r in arranged} == {("own", "s")}
+
+
 def test_schedule_is_inverted(spark):
     for knots in mixing.SCHEDULES.values():
         shares = [i / 20 for i in range(21)]
@@ -446,6 +457,16 @@ def test_turns_are_whole(spark):
         assert found[i, t].rendered == f"<|{role}|>\n{found[i, t].text}\n<|end|>\n"
 
 
+def test_long_turns_do_not_mix(spark):
+    """More lines in a turn than 2 ** 20, and a turn after it."""
+    numbers = spark.createDataFrame([(0, (1 << 20) + 5), (1, 3), ((1 << 23) + 1, 2)], "number long, at long")
+    line_no = F.col("number") * chat.LINES + F.col("at")
+    found = numbers.select(
+        "number", chat._floor(line_no, chat.LINES).alias("turn"), chat._floor(line_no, chat.LINES * chat.TURNS).alias("segment")
+    )
+    assert [tuple(r) for r in found.collect()] == [(0, 0, 0), (1, 1, 0), ((1 << 23) + 1, (1 << 23) + 1, 1 << 15)]
+
+
 def test_transcripts_with_nulls(spark):
     rows = [(i, t, ("user", "assistant")[t % 2], f"text {t} of {i}") for i in range(40) for t in range(4)]
     odd = [

@@ -181,19 +181,19 @@ def _last_pass(placed: DataFrame) -> DataFrame:
 
 def arrange(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The training sequence: each document as often as the mix takes it, with
-    ``position``, sorted by range over all files."""
+    ``position`` (in place of a column of that name), sorted by range over all files."""
     size = F.size(word_list(F.col("text"))).cast("long")
     # Rows that share an id are paired one to one, by source and size.
     docs = docs.withColumn("_nth", F.row_number().over(_within_id(F.col("source"), size)))
     nth = F.row_number().over(_within_id(F.col("source"), F.col("size")))
-    taken = mixed.select(F.col("doc_id").alias("_id"), nth.alias("_n"), "positions").where(
-        F.size("positions") > 0
+    taken = mixed.select(F.col("doc_id").alias("_id"), nth.alias("_n"), F.col("positions").alias("_positions")).where(
+        F.size("_positions") > 0
     )
     paired = docs.join(taken, docs["doc_id"].eqNullSafe(taken["_id"]) & (F.col("_nth") == F.col("_n")))
     return (
         paired.drop("_nth", "_id", "_n")
-        .withColumn("position", F.explode("positions"))
-        .drop("positions")
+        .withColumn("position", F.explode("_positions"))
+        .drop("_positions")
         .repartitionByRange("position", "doc_id")
         .sortWithinPartitions("position", "doc_id")
     )
