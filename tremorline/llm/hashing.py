@@ -47,13 +47,15 @@ def word_hashes(texts: list[str | None], lower: bool = True) -> tuple[np.ndarray
     return hashes, counts
 
 
-def batched(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Slices of the batches whose texts are at most about ``BATCH_BYTES`` long."""
+def batched(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES
+) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Slices of the batches whose texts are at most about ``limit`` long."""
     for batch in batches:
         texts = batch.column(column).to_pylist()
         start, size = 0, 0
         for i, text in enumerate(texts):
             size += len(text or "")
-            if size > BATCH_BYTES or i == len(texts) - 1:
+            if size > limit or i == len(texts) - 1:
                 yield batch.slice(start, i + 1 - start), texts[start : i + 1]
                 start, size = i + 1, 0

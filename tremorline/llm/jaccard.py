@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremorline.llm.common import written
+from tremorline.llm.common import arrow_rows, written
 from tremorline.llm.graph import components
 from tremorline.llm.hashing import OTHER, batched, mix, word_hashes
 
@@ -54,10 +54,16 @@ STAR_ROUNDS = 2
 LIST_COST = 8
 #: Bytes of text that stand for one chunk of lists.
 CHUNK_BYTES = 32_000_000
+#: Characters of text whose shingles a task holds together; hashing takes some fifty bytes for each.
+HELD = 250_000
+#: Documents in a batch on their way to a task's Python worker.
+BATCH_ROWS = 500
 #: Cells of the sketch: the bounds of its size, and shingles that share a cell.
 SKETCH_BITS = (16, 24)
 PER_CELL = 64
 _SLICES = 16
+_ID_BITS = 27
+
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     """The sorted distinct shingles of each text."""
@@ -143,7 +149,7 @@ def describe(docs: DataFrame, cells: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(cells, np.uint32)
-        for batch, texts in batched(batches, "text"):
+        for batch, texts in batched(batches, "text", HELD):
             sets = shingle_sets(texts)
             if sets:
                 np.add.at(counts, (np.concatenate(sets) & np.uint64(cells - 1)).astype(np.int64), 1)
@@ -190,14 +196,15 @@ def sketch(described: DataFrame, cells: int) -> np.ndarray:
     return levels.reshape(-1)
 
 
-def _keys(docs: DataFrame, levels: np.ndarray, boundary: int) -> DataFrame:
-    """Each document's subset keys (light) and its rarest shingles (lists), as blobs."""
-    shared = docs.sparkSession.sparkContext.broadcast(levels)
+def _keys(docs: DataFrame, reps: DataFrame, levels: np.ndarray, boundary: int) -> DataFrame:
+    """The subset keys (light) and the rarest shingles (lists), as blobs, of the documents that
+    ``reps`` names (and of the few others that a bitmap lets through)."""
+    shared = docs.sparkSession.sparkContext.broadcast((levels, _bitmap(reps)))
     lowest_listed = math.ceil(THRESHOLD * (boundary + 1))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = shared.value
-        for batch, texts in batched(batches, "text"):
+        order, bitmap = shared.value
+        for batch, texts in batched((_named(b, bitmap) for b in batches), "text", HELD):
             sizes, lists, light = [], [], []
             for own in shingle_sets(texts):
                 n = len(own)
@@ -216,7 +223,7 @@ def _keys(docs: DataFrame, levels: np.ndarray, boundary: int) -> DataFrame:
                 names=["doc_id", "n", "lists", "light"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(emit, "doc_id long, n long, lists binary, light binary")
+    return _hashed(docs).mapInArrow(emit, "doc_id long, n long, lists binary, light binary")
 
 
 def _shared_postings(keys: DataFrame, chunks: int) -> DataFrame:
@@ -287,10 +294,9 @@ def _shared_postings(keys: DataFrame, chunks: int) -> DataFrame:
     )
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """About the rows of ``docs`` that ``ids`` names (a bitmap of bounded size lets a few
-    others through), so that texts nobody asks for are not shuffled."""
-    bits = 1 << min(27, max(16, (8 * ids.count()).bit_length()))
+def _bitmap(ids: DataFrame) -> np.ndarray:
+    """A bitmap of bounded size (16 MB at most) in which the ids' hashes are set."""
+    bits = 1 << min(_ID_BITS, max(16, (8 * ids.count()).bit_length()))
     at = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
     words = (
         ids.select(at.alias("at"))
@@ -300,17 +306,31 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     )
     bitmap = np.zeros(bits // 32, np.uint32)
     bitmap[words["word"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64).astype(np.uint32)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    return bitmap
+
+
+def _hashed(docs: DataFrame) -> DataFrame:
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(1 << _ID_BITS))
+    return docs.where("doc_id is not null").select("doc_id", "text", at.alias("at"))
+
+
+def _named(batch: pa.RecordBatch, bitmap: np.ndarray) -> pa.RecordBatch:
+    """The rows (doc_id, text, at) whose ids the bitmap holds, without ``at``."""
+    at = batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint64) % np.uint64(32 * len(bitmap))
+    hit = (bitmap[(at // np.uint64(32)).astype(np.int64)] >> (at % np.uint64(32)).astype(np.uint32)) & 1
+    return batch.select([0, 1]).filter(pa.array(hit.astype(bool)))
+
+
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """About the rows of ``docs`` that ``ids`` names (the bitmap lets a few others
+    through), so that texts nobody asks for are not shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(ids))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value
         for batch in batches:
-            at = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
-            hit = (held[at // 32] >> (at % 32).astype(np.uint32)) & 1
-            yield batch.select([0, 1]).filter(pa.array(hit.astype(bool)))
+            yield _named(batch, shared.value)
 
-    rows = docs.where("doc_id is not null").select("doc_id", "text", at.alias("at"))
-    return rows.mapInArrow(keep, "doc_id long, text string")
+    return _hashed(docs).mapInArrow(keep, "doc_id long, text string")
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -322,7 +342,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts_a in batched(batches, "text_a"):
+        for batch, texts_a in batched(batches, "text_a", HELD):
             texts_b = batch.column("text_b").to_pylist()
             keep = []
             for one, other in zip(shingle_sets(texts_a), shingle_sets(texts_b)):
@@ -336,6 +356,12 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def link(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id (null for a row without id) of every row."""
+    # What goes through Python is written inside; the frame that comes back only joins.
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        return _link(docs)
+
+
+def _link(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(SKETCH_BITS[1], max(SKETCH_BITS[0], (size // 6 // PER_CELL).bit_length()))
     described = written(describe(docs, 1 << bits), "described")
@@ -350,7 +376,7 @@ def link(docs: DataFrame) -> DataFrame:
     boundary = light_boundary(sizes | {MAX_LIGHT + 1: larger})
 
     chunks = max(1, math.ceil(size / CHUNK_BYTES))
-    keys = _keys(docs.where("doc_id is not null"), sketch(described, 1 << bits), boundary)
+    keys = _keys(docs, reps.select("doc_id"), sketch(described, 1 << bits), boundary)
     postings = _shared_postings(keys, chunks).join(reps.select("doc_id").distinct(), "doc_id")
     postings = written(postings, "postings")
 
