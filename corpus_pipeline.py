@@ -36,9 +36,10 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near copies. Of rows that
-    repeat an id one stays; rows without an id are in no group and stay."""
+    repeat that id and its text one stays, rows of that id with another text stay too; rows
+    without an id are in no group and stay."""
     groups = jaccard.link(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
-    first = docs.join(groups, F.col("doc_id") == F.col("kept"), "left_semi").dropDuplicates(["doc_id"])
+    first = docs.join(groups, F.col("doc_id") == F.col("kept"), "left_semi").dropDuplicates(["doc_id", "text"])
     return first.select(COLUMNS).union(docs.where("doc_id is null").select(COLUMNS))
 
 
