@@ -339,7 +339,7 @@ def test_toxic_words_are_learned():
 
 
 def test_toxicity_holds_outside_its_training_rows(spark, sf_dir):
-    """Labels held out at sf0.01: 5 of 14 toxic documents have no word that others know as toxic."""
+    """Labels held out at sf0.01: 5 of 14 toxic documents have no word that marks two of those learned from."""
     larger = f"{os.path.dirname(sf_dir)}/sf0.01"
     docs = spark.read.parquet(f"{larger}/documents.parquet")
     labels = spark.read.parquet(f"{larger}/labels.parquet")

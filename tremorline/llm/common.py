@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,20 +24,6 @@ def written(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
-@contextmanager
-def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Arrow batches of at most ``rows`` rows (or the session's number, if smaller) for what
-    is run inside. Texts wait in several copies of a batch, in Java and in Python."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    if not 0 < int(before) < rows:
-        spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; -1 for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus, F.lit(-1))
