@@ -10,6 +10,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from tremorline.llm import (
     backoff,
     chat,
+    hashing,
     jaccard,
     language,
     merkle,
@@ -96,6 +98,47 @@ def test_jaccard_components(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == want
 
 
+def test_pairs_of_one_document_in_several_portions(spark, monkeypatch):
+    """A document with many more partners than a portion holds, an id with two texts, a repeated row."""
+    monkeypatch.setattr(jaccard, "PORTION", 7)
+    draw = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    texts = {0: " ".join(base)}
+    for i in range(1, 90):
+        own = list(base)
+        for _ in range(draw.choice([1, 1, 2, 12])):
+            own[draw.randrange(len(own))] = f"x{draw.randrange(9)}"
+        texts[i] = " ".join(own)
+    rows = [*texts.items(), (3, texts[3]), (200, "a b c d e f"), (200, texts[0]), (201, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = [(i, 0) for i in range(1, 90)] + [(i, i - 1) for i in range(2, 90)] + [(1, 0), (5, 200), (201, 0)]
+    found = jaccard.verified(docs, spark.createDataFrame(asked, "a long, b long"))
+
+    def shingles(text):
+        words = (text or "").split()
+        return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
+    def linked(a, b):
+        return any(
+            5 * len(x & y) >= 4 * len(x | y) > 0
+            for x in (shingles(t) for i, t in rows if i == a)
+            for y in (shingles(t) for i, t in rows if i == b)
+        )
+
+    want = {(a, b) for a, b in asked if linked(a, b)}
+    assert {(r.a, r.b) for r in found.collect()} == want
+    assert 20 < len(want) < len(set(asked)) - 20 and (5, 200) in want
+
+
+def test_slices_of_texts_keep_all_rows():
+    texts = ["é" * 9, None, "", "a" * 50, "b", None]
+    batch = pa.RecordBatch.from_pydict({"i": list(range(6)), "text": pa.array(texts, pa.string())})
+    for limit in (0, 1, 10, 30, 1000):
+        parts = list(hashing.batched([batch, batch.slice(0, 0), batch.slice(2, 3)], "text", limit))
+        assert [t for _, own in parts for t in own] == texts + texts[2:5]
+        assert [i for part, _ in parts for i in part.column("i").to_pylist()] == [*range(6), 2, 3, 4]
+
+
 def test_light_boundary_and_overlap():
     for n in range(1, 40):
         for m in jaccard.partner_sizes(n, 100):

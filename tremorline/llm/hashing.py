@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text that are looked at together.
 BATCH_BYTES = 2_000_000
@@ -50,12 +51,14 @@ def word_hashes(texts: list[str | None], lower: bool = True) -> tuple[np.ndarray
 def batched(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Slices of the batches whose texts are at most about ``limit`` long."""
+    """Slices of the batches whose texts have at most about ``limit`` bytes. Only a slice's
+    texts are Python objects at a time."""
     for batch in batches:
-        texts = batch.column(column).to_pylist()
+        texts = batch.column(column)
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
         start, size = 0, 0
-        for i, text in enumerate(texts):
-            size += len(text or "")
-            if size > limit or i == len(texts) - 1:
-                yield batch.slice(start, i + 1 - start), texts[start : i + 1]
+        for i, own in enumerate(sizes):
+            size += own
+            if size > limit or i == len(sizes) - 1:
+                yield batch.slice(start, i + 1 - start), texts.slice(start, i + 1 - start).to_pylist()
                 start, size = i + 1, 0

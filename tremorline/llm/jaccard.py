@@ -37,6 +37,7 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +57,8 @@ LIST_COST = 8
 CHUNK_BYTES = 32_000_000
 #: Characters of text whose shingles a task holds together; hashing takes some fifty bytes for each.
 HELD = 250_000
+#: Documents that are compared, in one group, with one copy of another one's text.
+PORTION = 256
 #: Cells of the sketch: the bounds of its size, and shingles that share a cell.
 SKETCH_BITS = (16, 24)
 PER_CELL = 64
@@ -312,44 +315,68 @@ def _hashed(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id is not null").select("doc_id", "text", at.alias("at"))
 
 
+def _hits(at: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    """Which of the hashes ``at`` the bitmap holds."""
+    at = at.astype(np.uint64) % np.uint64(32 * len(bitmap))
+    return ((bitmap[(at // np.uint64(32)).astype(np.int64)] >> (at % np.uint64(32)).astype(np.uint32)) & 1).astype(bool)
+
+
 def _named(batch: pa.RecordBatch, bitmap: np.ndarray) -> pa.RecordBatch:
     """The rows (doc_id, text, at) whose ids the bitmap holds, without ``at``."""
-    at = batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint64) % np.uint64(32 * len(bitmap))
-    hit = (bitmap[(at // np.uint64(32)).astype(np.int64)] >> (at % np.uint64(32)).astype(np.uint32)) & 1
-    return batch.select([0, 1]).filter(pa.array(hit.astype(bool)))
+    at = batch.column(2).to_numpy(zero_copy_only=False)
+    return batch.select([0, 1]).filter(pa.array(_hits(at, bitmap)))
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """About the rows of ``docs`` that ``ids`` names (the bitmap lets a few others
-    through), so that texts nobody asks for are not shuffled."""
+    through), so that texts nobody asks for are not shuffled. Texts stay in Java meanwhile."""
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(ids))
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield _named(batch, shared.value)
+    @F.pandas_udf("boolean")
+    def asked(at: pd.Series) -> pd.Series:
+        return pd.Series(_hits(at.to_numpy(), shared.value))
+
+    return _hashed(docs).where(asked("at")).drop("at")
 
-    return _hashed(docs).mapInArrow(keep, "doc_id long, text string")
+
+def reached(one: np.ndarray, other: np.ndarray) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    shared = len(np.intersect1d(one, other, assume_unique=True))
+    union = len(one) + len(other) - shared
+    return THRESHOLD.denominator * shared >= THRESHOLD.numerator * union > 0
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of ``pairs`` whose documents reach the threshold, by their texts."""
+    """The pairs (a, b) of ``pairs`` whose documents reach the threshold, by their texts.
+
+    The partners a of a document b are dealt to portions of about ``PORTION``. A portion gets
+    the text of b once, and after it those of its partners, one a row: what moves grows with
+    the documents, not with twice the pairs, and a document that very many are compared
+    with is spread over tasks."""
     pairs = written(pairs.select("a", "b").distinct(), "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = _only(docs, ids)
-    left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    partners = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PORTION).alias("portions"))
+    portion = F.pmod(F.xxhash64("a"), F.col("portions")).alias("portion")
+    members = written(pairs.join(partners, "b").select(F.col("a").alias("doc_id"), "b", portion), "portions")
+    own = members.select(F.col("b").alias("doc_id"), "b", "portion").distinct()
+    rows = members.withColumn("member", F.lit(True)).union(own.withColumn("member", F.lit(False)))
+    texts = _only(docs, rows.select("doc_id").distinct())
+    brought = rows.join(texts, "doc_id").repartition("b", "portion").sortWithinPartitions("b", "portion", "member")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts_a in batched(batches, "text_a", HELD):
-            texts_b = batch.column("text_b").to_pylist()
+        group, bases = None, {}
+        for batch, own_texts in batched(batches, "text", HELD):
+            names = zip(*(batch.column(c).to_pylist() for c in ("b", "portion", "member")))
             keep = []
-            for one, other in zip(shingle_sets(texts_a), shingle_sets(texts_b)):
-                shared = len(np.intersect1d(one, other, assume_unique=True))
-                union = len(one) + len(other) - shared
-                keep.append(THRESHOLD.denominator * shared >= THRESHOLD.numerator * union > 0)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
+            for (b, portion, member), one in zip(names, shingle_sets(own_texts)):
+                if (b, portion) != group:
+                    group, bases = (b, portion), {}
+                if not member:
+                    bases[one.tobytes()] = one
+                keep.append(member and any(reached(one, base) for base in bases.values()))
+            found = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([found.column("doc_id"), found.column("b")], names=["a", "b"])
+
+    return brought.mapInArrow(check, "a long, b long")
 
 
 def link(docs: DataFrame) -> DataFrame:
