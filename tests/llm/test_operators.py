@@ -98,9 +98,8 @@ def test_jaccard_components(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == want
 
 
-def test_pairs_of_one_document_in_several_portions(spark, monkeypatch):
-    """A document with many more partners than a portion holds, an id with two texts, a repeated row."""
-    monkeypatch.setattr(jaccard, "PORTION", 7)
+def test_pairs_of_one_document(spark):
+    """A document with many partners, an id with two texts, a repeated row."""
     draw = random.Random(5)
     base = [f"w{i}" for i in range(60)]
     texts = {0: " ".join(base)}
