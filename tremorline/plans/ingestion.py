@@ -29,7 +29,7 @@ from tremorline.sources import (
     write_landing,
     write_silver,
 )
-from tremorline.sources.files import is_whole
+from tremorline.sources.files import TEXT_CODEC, is_whole
 from tremorline.sources.paths import require_utc
 from tremorline.sources.silver import SECOND_FORMAT, SUBSECOND_FORMAT
 
@@ -84,12 +84,14 @@ def ingest(
     options: CleanOptions = CleanOptions(),
     *,
     lines: DataFrame | None = None,
+    per_file: int | None = None,
     catalog: bool = False,
     format: str = "parquet",
     by_run: bool = True,
     by_day: bool = False,
 ) -> IngestReport:
-    """One run: land ``lines`` if given, then clean what is landed into both sinks.
+    """One run: land ``lines`` if given, at most ``per_file`` of them in a file, then clean what
+    is landed into both sinks.
 
     With ``by_run`` the table is appended first, the run's rows in a folder of their own,
     and silver is written from that folder. So documents are parsed once, nothing is
@@ -113,7 +115,8 @@ def ingest(
         if stored is not None and (lines is not None or is_whole(spark, run.silver)):
             raise ValueError(held)
     if lines is not None:
-        write_landing(lines, run.landing, "errorifexists" if is_whole(spark, run.landing) else "overwrite")
+        mode = "errorifexists" if is_whole(spark, run.landing) else "overwrite"
+        write_landing(lines, run.landing, mode, per_file=per_file)
 
     documents = read_landing(spark, run.landing)
     counted = Counted(documents, options)
@@ -138,7 +141,7 @@ def ingest(
         write_cells(stored, table, run.stamp)
 
     if report.rejected or report.damaged:
-        rejected(documents).write.mode("overwrite").json(run.rejected)
+        rejected(documents).write.mode("overwrite").option("compression", TEXT_CODEC).json(run.rejected)
         log.warning(
             "run %s: %d documents and %d features rejected", run.stamp, report.rejected, report.damaged
         )

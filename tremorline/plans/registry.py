@@ -56,6 +56,9 @@ ZONE = "America/Los_Angeles"
 # fewer decimals some means of the feed lie exactly between two roundings.
 DECIMALS = 9
 
+# Documents of the feed in a landed file, about 15 MB of text before it is compressed.
+PER_FILE = 50
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # --- inputs, made once per application and folder ---------------------------------
@@ -81,7 +84,7 @@ def _run(spark: SparkSession, sf_dir: str) -> Run:
 
     def make(root: str) -> None:
         lines = _documents(spark, sf_dir)
-        ingest(spark, Run(root, RUN_AT), f"{root}/table", lines=lines)
+        ingest(spark, Run(root, RUN_AT), f"{root}/table", lines=lines, per_file=PER_FILE)
 
     return Run(_once(spark, sf_dir, "run", make), RUN_AT)
 
@@ -97,7 +100,7 @@ def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _loose_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     def make(path: str) -> None:
         rows = loosely_typed(feed_rows(spark, sf_dir))
-        write_landing(to_documents(to_features(rows)), path)
+        write_landing(to_documents(to_features(rows)), path, per_file=PER_FILE)
 
     return ops.explode_features(read_landing(spark, _once(spark, sf_dir, "loose", make)))
 
@@ -267,7 +270,7 @@ def latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for minute, part in enumerate((rows, again)):
             run = Run(root, RUN_AT.replace(minute=minute))
-            ingest(spark, run, f"{root}/table", lines=to_documents(to_features(part)))
+            ingest(spark, run, f"{root}/table", lines=to_documents(to_features(part)), per_file=PER_FILE)
 
     root = _once(spark, sf_dir, "overlap", make)
     table = read_table(spark, f"{root}/table", nested_event_schema())
@@ -351,8 +354,8 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     features among good ones: set aside, not fatal."""
 
     def make(path: str) -> None:
-        lines = _documents(spark, sf_dir).union(_failed(spark, sf_dir))
-        write_landing(lines.union(_damaged(spark, sf_dir)), path)
+        write_landing(_documents(spark, sf_dir), path, per_file=PER_FILE)
+        write_landing(_failed(spark, sf_dir).union(_damaged(spark, sf_dir)), path, "append")
 
     documents = read_landing(spark, _once(spark, sf_dir, "mixed", make))
     accepted = ops.explode_features(documents)
@@ -372,7 +375,7 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     reviewed = F.col("status") == "reviewed"
     for minute, part in enumerate((rows.where(reviewed), rows.where(~reviewed))):
         run = Run(root, RUN_AT.replace(minute=minute))
-        write_landing(to_documents(to_features(part)), run.landing)
+        write_landing(to_documents(to_features(part)), run.landing, per_file=PER_FILE)
         ingest_new_documents(spark, root, f"{root}/table", f"{root}/checkpoint")
     silver = read_silver(spark, f"{root}/silver/stream", nested_event_schema())
     counts = ops.count_by_region(read_table(spark, f"{root}/table"))
@@ -414,7 +417,7 @@ def odd_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens with suffixes, in hexadecimal, not a number, infinite or too large give NULL."""
 
     def make(path: str) -> None:
-        write_landing(to_documents(to_features(oddly_spelled(feed_rows(spark, sf_dir)))), path)
+        write_landing(to_documents(to_features(oddly_spelled(feed_rows(spark, sf_dir)))), path, per_file=PER_FILE)
 
     landed = _once(spark, sf_dir, "odd-numbers", make)
     return _lenient(ops.explode_features(read_landing(spark, landed)))

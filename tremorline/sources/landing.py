@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tremorline.schema import CORRUPT, feed_schema
+from tremorline.sources.files import TEXT_CODEC
 
 FILE = "_file"
 
@@ -16,9 +17,18 @@ _OPTIONS = {"allowSingleQuotes": "false"}
 _END = "_end"
 
 
-def write_landing(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Land documents, given as a frame with one string column, as they are."""
-    lines.write.mode(mode).text(path)
+def write_landing(
+    lines: DataFrame, path: str, mode: str = "errorifexists", *, per_file: int | None = None
+) -> None:
+    """Land documents, given as a frame with one string column, as they are, compressed.
+
+    A compressed file is read by one task; ``per_file`` bounds the documents in it where those
+    that one task writes are too many for one that reads.
+    """
+    writer = lines.write.mode(mode).option("compression", TEXT_CODEC)
+    if per_file is not None:
+        writer = writer.option("maxRecordsPerFile", per_file)
+    writer.text(path)
 
 
 def read_landing(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -1,10 +1,12 @@
-"""Silver layer: clean rows as JSON lines, with explicit nulls."""
+"""Silver layer: clean rows as JSON lines, with explicit nulls, compressed."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tremorline.sources.files import TEXT_CODEC
+
 # How timestamps are written as text, without and with their fraction.
 SECOND_FORMAT = "yyyy-MM-dd HH:mm:ss"
 SUBSECOND_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -13,7 +15,7 @@ SUBSECOND_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 def write_silver(
     events: DataFrame, path: str, timestamp_format: str = SECOND_FORMAT, mode: str = "errorifexists"
 ) -> None:
-    writer = events.write.mode(mode).option("ignoreNullFields", "false")
+    writer = events.write.mode(mode).option("ignoreNullFields", "false").option("compression", TEXT_CODEC)
     writer.option("timestampFormat", timestamp_format).json(path)
 
 

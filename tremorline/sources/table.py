@@ -6,12 +6,12 @@ import hashlib
 import json
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tremorline.schema import DAY, RUN
-from tremorline.sources.files import DONE, is_whole, matching, names_in
+from tremorline.sources.files import DONE, TABLE_CODEC, is_whole, matching, names_in
 
 
 def conform(events: DataFrame, schema: T.StructType) -> DataFrame:
@@ -72,13 +72,18 @@ def append_table(
     if catalog:
         _append_to_catalog(events, target, format, run, partitions)
     elif run is not None:
-        writer = events.write.mode("overwrite").format(format)
+        writer = _path_writer(events, "overwrite", format)
         (writer.partitionBy(DAY) if by_day else writer).save(_run_folder(target, run))
     else:
-        writer = events.write.mode("append").format(format)
+        writer = _path_writer(events, "append", format)
         (writer.partitionBy(DAY) if by_day else writer).save(target)
 
 
+def _path_writer(events: DataFrame, mode: str, format: str = "parquet") -> DataFrameWriter:
+    writer = events.write.mode(mode).format(format)
+    return writer.option("compression", TABLE_CODEC) if format == "parquet" else writer
+
+
 def _append_to_catalog(
     events: DataFrame, target: str, format: str, run: str | None, partitions: list[str]
 ) -> None:
@@ -290,7 +295,7 @@ def append_shape(events: DataFrame, target: str) -> None:
     if not is_whole(spark, noted):
         text = spark.createDataFrame([(events.schema.json(),)], "value string").coalesce(1)
         text.write.mode("overwrite").text(noted)
-    events.write.mode("append").parquet(f"{target.rstrip('/')}/shape={shape}")
+    _path_writer(events, "append").save(f"{target.rstrip('/')}/shape={shape}")
 
 
 def read_shapes(spark: SparkSession, source: str) -> DataFrame:

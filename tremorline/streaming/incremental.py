@@ -16,6 +16,7 @@ from tremorline.operators import CleanOptions, add_insert_date
 from tremorline.plans.ingestion import Counted, IngestReport, silver_format
 from tremorline.schema import INSERTED
 from tremorline.sources import append_table, has_run, read_run, rejected, write_cells, write_silver
+from tremorline.sources.files import TEXT_CODEC
 from tremorline.sources.landing import parse_lines, stream_lines
 from tremorline.sources.paths import LANDING, REJECTED, SILVER, require_utc
 
@@ -82,7 +83,8 @@ def _ingest_batch(
     stored = read_run(spark, table, name, options.table_schema() or events.schema)
     write_cells(stored, table, name)
     if report.rejected or report.damaged:
-        rejected(documents).write.mode("overwrite").json(f"{root}/{REJECTED}/stream/batch={name}")
+        folder = f"{root}/{REJECTED}/stream/batch={name}"
+        rejected(documents).write.mode("overwrite").option("compression", TEXT_CODEC).json(folder)
     silver = f"{root}/{SILVER}/stream/batch={name}"
     write_silver(stored.drop(INSERTED), silver, silver_format(options), mode="overwrite")
     return report
