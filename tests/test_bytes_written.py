@@ -5,10 +5,12 @@ from __future__ import annotations
 from datetime import datetime, timezone
 from pathlib import Path
 
+import pytest
 from documents import document, feature
 
 from tremorline import Run, flat_events, ingest
 from tremorline import operators as ops
+from tremorline.plans import registry
 from tremorline.sources import append_shape, read_landing, read_shapes, write_landing
 
 RUN_AT = datetime(2024, 10, 25, 7, 55, 30, tzinfo=timezone.utc)
@@ -42,3 +44,17 @@ def test_tables_of_all_shapes_are_compressed(spark, tmp_path):
     rows = [name for name in parts(tmp_path / "table") if name.endswith(".parquet")]
     assert rows and all(name.endswith(".zstd.parquet") for name in rows)
     assert read_shapes(spark, f"{tmp_path}/table").count() == 1
+
+
+@pytest.mark.parametrize(
+    "query, landings",
+    [("one_table_all_shapes", 3)],
+)
+def test_the_feed_is_landed_once_for_each_run(spark, sf_dir, tmp_path, monkeypatch, query, landings):
+    monkeypatch.setattr(registry, "_made", {})
+    monkeypatch.setattr(registry, "scratch_dir", lambda spark, label: f"{tmp_path}/{label}")
+    registry.QUERIES[query](spark, sf_dir).count()
+    folders = {path.parent for path in tmp_path.rglob("part-*.txt.gz")} | {
+        path.parent for path in tmp_path.rglob("part-*.txt") if "reports" not in path.parts
+    }
+    assert len(folders) == landings

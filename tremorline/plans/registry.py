@@ -246,10 +246,12 @@ def resumed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def one_table_all_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of the three typed shapes in one table, read as one."""
     root = scratch_dir(spark, "all-shapes")
-    landed = spark.read.text(_run(spark, sf_dir).landing)
+    lines = _documents(spark, sf_dir)
     shapes = [ops.nested_events(), ops.flat_events(), ops.subsecond_events(ZONE)]
     for second, options in enumerate(shapes):
-        ingest(spark, Run(root, RUN_AT.replace(second=second)), f"{root}/table", options, lines=landed)
+        run = Run(root, RUN_AT.replace(second=second))
+        ingest(spark, run, f"{root}/table", options, lines=lines, per_file=PER_FILE)
+        lines = spark.read.text(run.landing)
     table = read_table(spark, f"{root}/table", merge_schema=True)
     return table.groupBy("code", "area").agg(
         F.count(F.lit(1)).alias("n"),
