@@ -46,6 +46,7 @@ from tremorline.sources.derived_feed import (
     to_documents,
     to_features,
 )
+from tremorline.sources.landing import FILE, parse_lines
 from tremorline.sources.paths import scratch_dir
 from tremorline.streaming import ingest_new_documents
 
@@ -538,24 +539,22 @@ def _from_cells(question: Query) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         def make(root: str) -> None:
             rows = feed_rows(spark, sf_dir)
-            for minute in (0, 1):
-                part = to_documents(to_features(rows.where(f"event_id % 2 = {minute}")))
-                ingest(spark, Run(root, RUN_AT.replace(minute=minute)), f"{root}/table", lines=part)
-            run = Run(root, RUN_AT.replace(minute=2))
-            part = to_documents(to_features(rows))
-            events = ops.clean(ops.explode_features(_landed(spark, part, run)))
-            append_table(ops.add_insert_date(events, RUN_AT), f"{root}/table", nested_event_schema(), run=run.stamp)
+            runs = [Run(root, RUN_AT.replace(minute=minute)) for minute in range(3)]
+            for half, run in enumerate(runs[:2]):
+                part = to_documents(to_features(rows.where(f"event_id % 2 = {half}")))
+                ingest(spark, run, f"{root}/table", lines=part, per_file=PER_FILE)
+            # The halves are landed; only rows that are in neither are made into documents again.
+            landed = read_landing(spark, [run.landing for run in runs[:2]]).drop(FILE)
+            others = rows.where("coalesce(event_id % 2, -1) NOT IN (0, 1)")
+            whole = landed.union(parse_lines(to_documents(to_features(others))))
+            events = ops.add_insert_date(ops.clean(ops.explode_features(whole)), RUN_AT)
+            append_table(events, f"{root}/table", nested_event_schema(), run=runs[2].stamp)
 
         return question(read_cells(spark, f"{_once(spark, sf_dir, 'cells', make)}/table"))
 
     return query
 
 
-def _landed(spark: SparkSession, lines: DataFrame, run: Run) -> DataFrame:
-    write_landing(lines, run.landing)
-    return read_landing(spark, run.landing)
-
-
 def strongest_region_last_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.strongest_regions(_table(spark, sf_dir))
 
