@@ -46,6 +46,7 @@ from tremorline.sources.derived_feed import (
     to_documents,
     to_features,
 )
+from tremorline.sources.files import TABLE_CODEC
 from tremorline.sources.landing import FILE, parse_lines
 from tremorline.sources.paths import scratch_dir
 from tremorline.streaming import ingest_new_documents
@@ -231,11 +232,12 @@ def resumed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     and no silver, and is called again: rows per region in either sink."""
     root = scratch_dir(spark, "resumed")
     run = Run(root, RUN_AT)
-    write_landing(_documents(spark, sf_dir), run.landing)
-    events = ops.add_insert_date(ops.clean(_features(spark, sf_dir)), RUN_AT)
+    write_landing(_documents(spark, sf_dir), run.landing, per_file=PER_FILE)
+    landed = ops.explode_features(read_landing(spark, run.landing))
+    events = ops.add_insert_date(ops.clean(landed), RUN_AT)
     half = events.where(F.col("code").try_cast("bigint") % 2 == 0)
     leaves_no_mark = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
-    half.write.options(**leaves_no_mark).parquet(f"{root}/table/run={run.stamp}")
+    half.write.options(compression=TABLE_CODEC, **leaves_no_mark).parquet(f"{root}/table/run={run.stamp}")
     ingest(spark, run, f"{root}/table")
     silver = read_silver(spark, run.silver, events.drop("insert_date").schema)
     table = read_table(spark, f"{root}/table", nested_event_schema())
