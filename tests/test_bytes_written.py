@@ -48,7 +48,7 @@ def test_tables_of_all_shapes_are_compressed(spark, tmp_path):
 
 @pytest.mark.parametrize(
     "query, landings",
-    [("one_table_all_shapes", 3), ("avg_daily_count_from_cells", 2), ("resumed_ingest", 1)],
+    [("one_table_all_shapes", 3), ("avg_daily_count_from_cells", 2), ("resumed_ingest", 1), ("ingest_report", 1)],
 )
 def test_the_feed_is_landed_once_for_each_run(spark, sf_dir, tmp_path, monkeypatch, query, landings):
     monkeypatch.setattr(registry, "_made", {})

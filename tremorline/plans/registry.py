@@ -215,13 +215,12 @@ def autodetect_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a run reports of a feed with odd tokens, failed fetches and damaged features."""
 
-    def make(path: str) -> None:
-        good = to_documents(to_features(oddly_spelled(feed_rows(spark, sf_dir))))
-        write_landing(good.union(_failed(spark, sf_dir)).union(_damaged(spark, sf_dir)), path)
-
-    lines = spark.read.text(_once(spark, sf_dir, "odd", make))
     root = scratch_dir(spark, "report")
-    report = ingest(spark, Run(root, RUN_AT), f"{root}/table", lines=lines)
+    run = Run(root, RUN_AT)
+    good = to_documents(to_features(oddly_spelled(feed_rows(spark, sf_dir))))
+    write_landing(good, run.landing, per_file=PER_FILE)
+    write_landing(_failed(spark, sf_dir).union(_damaged(spark, sf_dir)), run.landing, "append")
+    report = ingest(spark, run, f"{root}/table")
     counts = {n: getattr(report, n) for n in ("documents", "rejected", "damaged")} | report.lost
     rows = [(name, n) for name, n in counts.items() if name != "documents"]
     return spark.createDataFrame(rows, "measure string, n bigint")
