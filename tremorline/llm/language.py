@@ -20,8 +20,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tremorline.llm.common import held_out
+from tremorline.llm.hashing import batched
 
 PROFILE = 400
+#: N-grams that a task holds before it adds them up; adding up takes some sixty bytes for each.
+WAITING = 500_000
 _BORDER = 1
 _letters: np.ndarray | None = None
 
@@ -72,12 +75,12 @@ def learn_profiles(docs: DataFrame, k: int = PROFILE) -> dict[str, list[int]]:
                 )
             held.clear()
 
-        for batch in batches:
-            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for batch, texts in batched(batches, "text"):
+            for text, lang in zip(texts, batch.column("lang").to_pylist()):
                 pair = np.unique(ngrams(text), return_counts=True)
                 held.setdefault(lang, []).append(pair)
                 waiting += len(pair[0])
-                if waiting > 2_000_000:
+                if waiting > WAITING:
                     yield from emit()
                     waiting = 0
         yield from emit()
@@ -123,8 +126,8 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], k: int = PROFILE) -
         return langs[best], float(1 - distance[best] / (k * len(top)))
 
     def guess(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = [one(t) for t in batch.column("text").to_pylist()]
+        for batch, texts in batched(batches, "text"):
+            pairs = [one(t) for t in texts]
             columns = [c for c, name in zip(batch.columns, batch.schema.names) if name not in drop]
             columns += [pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=out_names)

@@ -22,8 +22,10 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +34,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tremorline.llm.common import written
+from tremorline.llm.hashing import batched
 
 SEQUENCE = 2048
 #: Classes of lengths that patterns are made of; sequences have this many parts.
 CLASSES = 128
 SEPARATOR = 0
-#: Words kept with their ids by a task, and texts' bytes looked up at a time.
-CACHE_WORDS = 1_000_000
-LOOKUP_BYTES = 4_000_000
+#: Words kept with their ids by a task (some 150 bytes each), and texts' bytes that are Python
+#: objects at a time (their words and places take some twenty times as much).
+CACHE_WORDS = 500_000
+LOOKUP_BYTES = 500_000
 _PLAIN = re.compile(r"([a-z]+)([.,!?%$#&*;:)(\"]*)")
 
 
@@ -58,7 +62,7 @@ class WordIds:
     def _reset(self) -> None:
         self.index: dict[bytes, int] = {}
         self.flat = np.empty(1 << 16, np.uint32)
-        self.begins = [0]
+        self.begins = array("q", [0])
 
     def _word(self, word: bytes) -> list[int]:
         text = word.decode()
@@ -82,7 +86,7 @@ class WordIds:
             words = (data if b"<|" in data else data.lower()).split()
             codes.extend([index.setdefault(w, len(index)) for w in words])
             counts.append(len(words))
-        for word in list(index)[known:] if known < len(index) else []:
+        for word in islice(index, known, None):
             ids = self._word(word)
             begin = self.begins[-1]
             if begin + len(ids) > len(self.flat):
@@ -109,16 +113,8 @@ def pieces(docs: DataFrame, path: str, *, keep_ids: bool = False) -> DataFrame:
         lookup = WordIds(path)
         part = TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            rows, held, size = [], [], 0
-            for doc_id, text in zip(ids, texts):
-                held.append((doc_id, text))
-                size += len(text or "")
-                if size > LOOKUP_BYTES:
-                    rows += _cut(held, lookup, seen)
-                    held, size = [], 0
-            rows += _cut(held, lookup, seen)
+        for batch, texts in batched(batches, "text", LOOKUP_BYTES):
+            rows = _cut(batch.column("doc_id").to_pylist(), texts, lookup, seen)
             columns = list(zip(*rows)) or [()] * 7
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             arrays = [pa.array(c, t) for c, t in zip(columns, types)]
@@ -127,9 +123,9 @@ def pieces(docs: DataFrame, path: str, *, keep_ids: bool = False) -> DataFrame:
                 del arrays[6]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    def _cut(held: list, lookup: WordIds, seen: dict[int, int]) -> list[tuple]:
+    def _cut(ids: list, texts: list, lookup: WordIds, seen: dict[int, int]) -> list[tuple]:
         rows = []
-        for (doc_id, _), found in zip(held, lookup([text for _, text in held])):
+        for doc_id, found in zip(ids, lookup(texts)):
             own = np.append(found, SEPARATOR).astype("<u4")
             for piece, start in enumerate(range(0, len(own), SEQUENCE)):
                 data = own[start : start + SEQUENCE].tobytes()
