@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import random
+import re
 import tracemalloc
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
 from tremorline.llm import language, packing
+from tremorline.llm.hashing import batched
 from tremorline.llm.queries import tokenizer_path
 
 
@@ -73,3 +77,19 @@ def test_language_counts_in_slices(monkeypatch):
     found, peak = _peak(docs.function, batch.select([1, 2]))
     assert found > 0
     assert peak < 3 * batch.nbytes
+
+
+def _held_mb() -> float:
+    kept = re.findall(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())
+    return sum(map(int, kept)) / 1024
+
+
+def test_free_memory_is_given_back():
+    blocks = [np.ones(8_000) for _ in range(3000)]
+    pins = blocks[::100]
+    del blocks
+    before = _held_mb()
+    batch = _batch(10, 10)
+    assert sum(len(texts) for _, texts in batched(iter([batch]), "text")) == 10
+    assert _held_mb() < before - 100
+    assert len(pins) == 30
