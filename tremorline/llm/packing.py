@@ -13,6 +13,9 @@ holds, so the plan is made on the driver from it alone:
 The plan says which ranks of each length go to which sequence and place; pieces get their
 ranks by a distributed count, and one join with the plan places them.
 
+Ordinary texts are split in numpy and go through a second, faster encoder made of the same
+vocabulary; all others go through the tokenizer's own library, word by word.
+
 Defined cases: a null text is empty; an empty document is one piece of the separator
 alone; repeated rows are packed each; an empty table gives no rows. Other columns of
 the input are not looked at.
@@ -20,7 +23,9 @@ the input are not looked at.
 
 from __future__ import annotations
 
+import json
 import re
+import unicodedata
 import zlib
 from array import array
 from collections import defaultdict
@@ -33,6 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tremorline.llm import concatenation
 from tremorline.llm.common import written
 from tremorline.llm.hashing import batched
 
@@ -46,6 +52,66 @@ CACHE_WORDS = 500_000
 LOOKUP_BYTES = 500_000
 _PLAIN = re.compile(r"([a-z]+)([.,!?%$#&*;:)(\"]*)")
 
+# What the second encoder takes: the normalizers and the splitting of a vocabulary file.
+_NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SPLITS = [
+    {"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+_END = "</w>"
+#: Longest piece for the second encoder, whose time grows with the square of it.
+LONGEST = 200
+_BLANK, _LETTER, _NUMBER, _SIGN, _OTHER, _MARK = range(6)
+
+
+def end_ranks(path: str) -> tuple[dict[bytes, int], list[str]] | None:
+    """The bytes of each token, a blank for its end mark, with its id, and the special tokens.
+
+    None for a file that the second encoder cannot take. It joins the neighbours that give the
+    smallest id, so ids have to be in the order of merges, after the bytes without and with the mark.
+    """
+    with open(path, encoding="utf-8") as file:
+        made = json.load(file)
+    model, added = made["model"], made["added_tokens"]
+    options = [model.get(name) for name in ("continuing_subword_prefix", "dropout", "ignore_merges")]
+    if model["type"] != "BPE" or model.get("end_of_word_suffix") != _END or any(options):
+        return None
+    if (made["normalizer"] or {}).get("normalizers") != _NORMALIZERS or any(t["normalized"] for t in added):
+        return None
+    if (made["pre_tokenizer"] or {}).get("pretokenizers") != _SPLITS:
+        return None
+    others = [b for b in range(256) if b not in concatenation._PRINTED]
+    spelled = {chr(b): b for b in concatenation._PRINTED} | {chr(256 + i): b for i, b in enumerate(others)}
+    vocab = model["vocab"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    inner, last = ({vocab.get(c + end) for c in spelled} for end in ("", _END))
+    in_order = all(vocab.get(a + b) == 512 + i for i, (a, b) in enumerate(merges))
+    whole = inner == set(range(256)) and last == set(range(256, 512)) and len(vocab) == 512 + len(merges)
+    if not (in_order and whole):
+        return None
+    ranks = {}
+    for token, i in vocab.items():
+        own = token.removesuffix(_END)
+        ranks[bytes(spelled[c] for c in own) + b" " * (own != token)] = i
+    return ranks, [token["content"] for token in added]
+
+
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """Kind and lower case of each code point below 65,536; the last one stands for all above."""
+    known = re.compile(f"[{concatenation._SIGNS}]")
+    kinds, lower = np.full(65536, _OTHER, np.uint8), np.arange(65536, dtype=np.uint32)
+    kinds[[*range(9, 14), 32]] = _BLANK
+    for code, letter in enumerate(map(chr, range(65535))):
+        if known.match(letter) and len(letter.lower()) == 1 and unicodedata.is_normalized("NFC", letter):
+            kinds[code] = {"L": _LETTER, "N": _NUMBER}.get(unicodedata.category(letter)[0], _SIGN)
+            lower[code] = ord(letter.lower())
+    return kinds, lower
+
 
 class WordIds:
     """Ids of whole texts by a tokenizer that drops white space, word by word.
@@ -103,14 +169,101 @@ class WordIds:
         return [ids[a:b] for a, b in zip(borders[:-1], borders[1:])]
 
 
+class TextIds:
+    """Ids of whole texts, each with ``SEPARATOR`` after it.
+
+    Texts of characters whose kind every Unicode version tells alike go through the second
+    encoder; others, those with special tokens and those with very long words through ``WordIds``.
+    """
+
+    def __init__(self, path: str, made: tuple[dict[bytes, int], list[str]] | None) -> None:
+        import tiktoken
+
+        self.path, self.words, self.encoder = path, None, None
+        if made:
+            ranks, self.special = made
+            # A split word comes with one blank after it, and "\n " for the end of a text.
+            # Words hold no white space, so no other piece gives the id of that.
+            self.encoder = tiktoken.Encoding("own", pat_str=r"[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
+            self.end_of_text = ranks[b"\n "]
+            self.kinds, self.lower = _kinds()
+
+    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+        """One array of ids for each text."""
+        texts = [text or "" for text in texts]
+        if not self.encoder:
+            return self._by_words(texts)
+        found, odd = self._ordinary(texts)
+        if len(odd):
+            for i, own in zip(odd, self._by_words([texts[i] for i in odd])):
+                found[i] = own
+        return found
+
+    def _by_words(self, texts: list[str]) -> list[np.ndarray]:
+        self.words = self.words or WordIds(self.path)
+        return [np.append(own, np.uint32(SEPARATOR)) for own in self.words(texts)]
+
+    def _ordinary(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Ids of all texts, and the numbers of those whose ids are not to be taken."""
+        # Three blanks at the end, so that places after a sign can be looked at.
+        codes = np.frombuffer(("\n".join(texts) + "\n   ").encode("utf-32-le"), "<u4")
+        places = np.minimum(codes, 65535)
+        kinds, codes = self.kinds[places], self.lower[places]
+        del places
+        ends = np.cumsum([len(text) + 1 for text in texts], dtype=np.int64)
+        kinds[ends - 1] = _MARK
+
+        # A piece is a run of letters or signs, or one number.
+        begins = np.empty(len(kinds), bool)
+        begins[0] = True
+        np.not_equal(kinds[1:], kinds[:-1], out=begins[1:])
+        begins |= (kinds == _NUMBER) | (kinds == _MARK)
+        self._contractions(codes, kinds, begins)
+        filled = kinds != _BLANK
+        begins &= filled
+        last = np.append(filled[:-1] & (begins[1:] | ~filled[1:]), False)
+
+        odd = {i for i, text in enumerate(texts) if any(token in text for token in self.special)}
+        starts = np.flatnonzero(begins)
+        long = starts[np.flatnonzero(last) - starts >= LONGEST]
+        strange = np.concatenate((np.flatnonzero(kinds == _OTHER), long))
+        odd.update(np.searchsorted(ends, strange, "right").tolist())
+        odd = np.array(sorted(odd), np.int64)
+        for i in odd:
+            begin, end = ends[i] - len(texts[i]) - 1, ends[i] - 1
+            filled[begin:end] = last[begin:end] = False
+
+        times = filled.astype(np.uint8) + last
+        out = np.repeat(codes, times)
+        out[np.cumsum(times, dtype=np.int64)[last] - 1] = 32
+        spaced = out.tobytes().decode("utf-32-le")
+        del codes, kinds, begins, filled, last, times, out, starts
+        ids = np.array(self.encoder.encode_ordinary(spaced), np.uint32)
+        borders = np.flatnonzero(ids == self.end_of_text) + 1
+        ids[borders - 1] = SEPARATOR
+        return [ids[a:b] for a, b in zip([0, *borders[:-1].tolist()], borders.tolist())], odd
+
+    @staticmethod
+    def _contractions(codes: np.ndarray, kinds: np.ndarray, begins: np.ndarray) -> None:
+        """'s, 't, 're, 've, 'm, 'll and 'd are pieces where no other sign is before them."""
+        at = np.flatnonzero((codes[:-3] == ord("'")) & begins[:-3])
+        pairs = codes[at + 1] << 16 | codes[at + 2]
+        one = np.isin(codes[at + 1], [ord(c) for c in "stmd"])
+        two = np.isin(pairs, [ord(a) << 16 | ord(b) for a, b in ("re", "ve", "ll")])
+        begins[at[one | two] + 1] = False
+        begins[at[one] + 2] = True
+        begins[at[two] + 3] = True
+
+
 def pieces(docs: DataFrame, path: str, *, keep_ids: bool = False) -> DataFrame:
     """Documents' ids, a separator after each, cut into pieces of at most ``SEQUENCE``.
 
     ``part`` and ``nth`` number the pieces of one length within one task.
     """
+    made = end_ranks(path)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = WordIds(path)
+        lookup = TextIds(path, made)
         part = TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
         for batch, texts in batched(batches, "text", LOOKUP_BYTES):
@@ -123,10 +276,10 @@ def pieces(docs: DataFrame, path: str, *, keep_ids: bool = False) -> DataFrame:
                 del arrays[6]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    def _cut(ids: list, texts: list, lookup: WordIds, seen: dict[int, int]) -> list[tuple]:
+    def _cut(ids: list, texts: list, lookup: TextIds, seen: dict[int, int]) -> list[tuple]:
         rows = []
         for doc_id, found in zip(ids, lookup(texts)):
-            own = np.append(found, SEPARATOR).astype("<u4")
+            own = found.astype("<u4", copy=False)
             for piece, start in enumerate(range(0, len(own), SEQUENCE)):
                 data = own[start : start + SEQUENCE].tobytes()
                 length = len(data) // 4
